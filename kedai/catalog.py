@@ -88,14 +88,15 @@ def _fact_of(trade, spark, sf_dir):
     )
 
 
-def _fact(spark, sf_dir):
-    return _fact_of(_trade(spark, sf_dir), spark, sf_dir)
-
-
 def _fact_lines(spark, sf_dir):
     return _fact_of(_trade_lines(spark, sf_dir), spark, sf_dir)
 
 
+def _measures(trade, spark, sf_dir):
+    """The fact without its dimension keys, for what only needs months and measures."""
+    return marts.fact_measures(trade, _fuel_monthly(spark, sf_dir))
+
+
 def _land(df: DataFrame, name: str) -> str:
     """Deliver a relation: a parquet folder under its landing names."""
     path = work_path(df.sparkSession, f"landing-{name}")
@@ -384,7 +385,7 @@ def join_trade_group(spark, sf_dir):
 
 @query
 def fct_retail_sales_monthly(spark, sf_dir):
-    return _fact(spark, sf_dir)
+    return _fact_of(_trade(spark, sf_dir), spark, sf_dir)
 
 
 @query
@@ -415,33 +416,26 @@ def fct_partitioned_readback(spark, sf_dir):
 # --- quality -----------------------------------------------------------------------
 
 
-def _keys_checked(df: DataFrame, table: str, column: str) -> DataFrame:
-    counts = df.agg(F.count(column).alias("rows_checked"))
-    return quality.unique(df, table, column).withColumn(
-        "rows_checked", counts.scalar()
-    )
-
-
 @query
 def dq_unique_date_key(spark, sf_dir):
-    return _keys_checked(_days(spark, sf_dir), "dim_date", "date_key")
+    return quality.unique(_days(spark, sf_dir), "dim_date", "date_key", count_rows=True)
 
 
 @query
 def dq_unique_full_date(spark, sf_dir):
-    return _keys_checked(_days(spark, sf_dir), "dim_date", "full_date")
+    return quality.unique(_days(spark, sf_dir), "dim_date", "full_date", count_rows=True)
 
 
 @query
 def dq_unique_group_key(spark, sf_dir):
     groups = dims.dim_msic_group(_lookup(spark, sf_dir))
-    return _keys_checked(groups, "dim_msic_group", "msic_group_key")
+    return quality.unique(groups, "dim_msic_group", "msic_group_key", count_rows=True)
 
 
 @query
 def dq_unique_group_code(spark, sf_dir):
     groups = dims.dim_msic_group(_lookup(spark, sf_dir))
-    return _keys_checked(groups, "dim_msic_group", "msic_group_code")
+    return quality.unique(groups, "dim_msic_group", "msic_group_code", count_rows=True)
 
 
 @query
@@ -452,27 +446,27 @@ def dq_unique_lookup_code(spark, sf_dir):
 
 @query
 def dq_not_null(spark, sf_dir):
-    days = quality.row_checks(
-        _days(spark, sf_dir), "dim_date", [quality.not_null(c) for c in ("date_key", "full_date")]
-    )
-    groups = quality.row_checks(
-        dims.dim_msic_group(_lookup(spark, sf_dir)),
-        "dim_msic_group",
-        [quality.not_null(c) for c in ("msic_group_key", "msic_group_code")],
+    days, groups = _days(spark, sf_dir), _groups(spark, sf_dir)
+    fact = marts.fct_retail_sales_monthly(
+        _trade_lines(spark, sf_dir), _fuel_monthly(spark, sf_dir), days, groups
     )
     checks = [c for c in quality.fact_row_checks() if c.test == "not_null"]
     prices = [quality.not_null(p, quality.WARN) for p in analytics.FACT_PRICES]
-    fact = quality.row_checks(
-        _fact_lines(spark, sf_dir), "fct_retail_sales_monthly", checks + prices
-    )
-    return quality.summary([days, groups, fact])
+    keys = {"dim_date": (days, "date_key", "full_date")}
+    keys["dim_msic_group"] = (groups, "msic_group_key", "msic_group_code")
+    dimensions = [
+        quality.row_checks(df, name, [quality.not_null(c) for c in columns])
+        for name, (df, *columns) in keys.items()
+    ]
+    measures = quality.row_checks(fact, "fct_retail_sales_monthly", checks + prices)
+    return quality.summary([*dimensions, measures])
 
 
 @query
 def dq_relationships_date(spark, sf_dir):
-    return quality.orphan_keys(
-        _fact_lines(spark, sf_dir), "date_key", _days(spark, sf_dir), "date_key"
-    )
+    days = _days(spark, sf_dir)
+    fact = joins.join_date(_trade_lines(spark, sf_dir), days)
+    return quality.orphan_keys(fact, "date_key", days, "date_key")
 
 
 @query
@@ -489,7 +483,7 @@ def dq_expression_true(spark, sf_dir):
     strict = quality.expression_is_true(
         "volume_index", F.col("volume_index") >= 10, quality.WARN
     )
-    fact = _fact_lines(spark, sf_dir)
+    fact = _measures(_trade_lines(spark, sf_dir), spark, sf_dir)
     return quality.with_status(
         quality.row_checks(fact, "fct_retail_sales_monthly", [*checks, strict])
     )
@@ -558,17 +552,17 @@ def fuel_change_weekly(spark, sf_dir):
 
 @query
 def kpi_recent_sales(spark, sf_dir):
-    return analytics.kpi_recent_sales(_fact_lines(spark, sf_dir))
+    return analytics.kpi_recent_sales(_measures(_trade_lines(spark, sf_dir), spark, sf_dir))
 
 
 @query
 def trend_monthly(spark, sf_dir):
-    return analytics.trend_monthly(_fact_lines(spark, sf_dir))
+    return analytics.trend_monthly(_measures(_trade_lines(spark, sf_dir), spark, sf_dir))
 
 
 @query
 def combo_sales_fuel(spark, sf_dir):
-    return analytics.combo_sales_fuel(_fact_lines(spark, sf_dir))
+    return analytics.combo_sales_fuel(_measures(_trade_lines(spark, sf_dir), spark, sf_dir))
 
 
 @query
@@ -589,14 +583,14 @@ def sales_filtered(spark, sf_dir):
 
 @query
 def corr_sales_fuel(spark, sf_dir):
-    return analytics.corr_sales_fuel(_fact(spark, sf_dir))
+    return analytics.corr_sales_fuel(_measures(_trade(spark, sf_dir), spark, sf_dir))
 
 
 @query
 def corr_by_group(spark, sf_dir):
-    return analytics.corr_by_group(_fact(spark, sf_dir))
+    return analytics.corr_by_group(_measures(_trade(spark, sf_dir), spark, sf_dir))
 
 
 @query
 def seasonality(spark, sf_dir):
-    return analytics.seasonality(_fact_lines(spark, sf_dir))
+    return analytics.seasonality(_measures(_trade_lines(spark, sf_dir), spark, sf_dir))

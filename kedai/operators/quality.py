@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 ERROR = "error"
 WARN = "warn"
 
-RESULT_COLUMNS = ("test", "table_name", "column_name", "severity", "failures")
-
 
 @dataclass(frozen=True)
 class RowCheck:
@@ -61,19 +59,29 @@ def failing_rows(df: DataFrame, check: RowCheck) -> DataFrame:
     return df.where(check.failed)
 
 
+def _key_counts(df: DataFrame, column: str) -> DataFrame:
+    present = df.where(F.col(column).isNotNull())
+    return present.groupBy(column).agg(F.count("*").alias("n_rows"))
+
+
 def duplicate_keys(df: DataFrame, column: str) -> DataFrame:
     """Values that occur more than once, with their number of rows."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n_rows"))
-    return counts.where(F.col("n_rows") > 1)
+    return _key_counts(df, column).where(F.col("n_rows") > 1)
 
 
-def unique(df: DataFrame, table: str, column: str, severity: str = ERROR) -> DataFrame:
-    return _result(duplicate_keys(df, column), "unique", table, column, severity)
+def unique(
+    df: DataFrame, table: str, column: str, severity: str = ERROR, count_rows: bool = False
+) -> DataFrame:
+    """Failures count duplicated values; ``count_rows`` adds the number of rows tested."""
+    counts = [F.count_if(F.col("n_rows") > 1).alias("failures")]
+    if count_rows:
+        counts.append(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows_checked"))
+    return _result(_key_counts(df, column).agg(*counts), "unique", table, column, severity)
 
 
 def orphan_keys(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
     """Child keys without a parent row, with their number of child rows."""
-    keys = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n_rows"))
+    keys = _key_counts(child, column)
     parents = parent.select(F.col(field).alias("_parent_key"))
     return keys.join(parents, F.col(column) == F.col("_parent_key"), "left_anti")
 
@@ -88,8 +96,8 @@ def relationships(
 ) -> DataFrame:
     """Failures count child rows, not distinct keys."""
     orphans = orphan_keys(child, column, parent, field)
-    failures = F.coalesce(F.sum("n_rows"), F.lit(0))
-    return _result(orphans, "relationships", table, column, severity, failures)
+    failures = orphans.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("failures"))
+    return _result(failures, "relationships", table, column, severity)
 
 
 def unaccepted_values(df: DataFrame, column: str, accepted: tuple[str, ...]) -> DataFrame:
@@ -104,25 +112,21 @@ def unaccepted_values(df: DataFrame, column: str, accepted: tuple[str, ...]) ->
 def accepted_values(
     df: DataFrame, table: str, column: str, accepted: tuple[str, ...], severity: str = ERROR
 ) -> DataFrame:
-    failing = unaccepted_values(df, column, accepted)
+    """Failures count distinct values outside the list."""
+    failing = unaccepted_values(df, column, accepted).agg(F.count("*").alias("failures"))
     return _result(failing, "accepted_values", table, column, severity)
 
 
 def _result(
-    failing: DataFrame,
-    test: str,
-    table: str,
-    column: str,
-    severity: str,
-    failures: Column | None = None,
+    counts: DataFrame, test: str, table: str, column: str, severity: str
 ) -> DataFrame:
-    count = F.count("*") if failures is None else failures
-    return failing.agg(count.alias("failures")).select(
+    """Label a one-row relation of counts with the test it belongs to."""
+    return counts.select(
         F.lit(test).alias("test"),
         F.lit(table).alias("table_name"),
         F.lit(column).alias("column_name"),
         F.lit(severity).alias("severity"),
-        "failures",
+        *counts.columns,
     )
 
 

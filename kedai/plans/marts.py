@@ -8,11 +8,9 @@ from pyspark.sql import functions as F
 from kedai.functions.keys import UNKNOWN_MEMBER
 from kedai.operators.joins import join_date, join_fuel_month, join_group
 
-FACT_COLUMNS = (
-    "date_key",
-    "msic_group_key",
-    "record_date",
-    "msic_group_code",
+KEYS = ("date_key", "msic_group_key")
+DEGENERATE = ("record_date", "msic_group_code")
+MEASURES = (
     "sales_value_rm_mil",
     "volume_index",
     "avg_ron95_price_rm",
@@ -30,9 +28,19 @@ def fct_retail_sales_monthly(
     never shuffled.
     """
     keyed = join_group(join_date(trade, dim_date), dim_group)
-    priced = join_fuel_month(keyed, fuel_monthly)
+    return _fact_rows(join_fuel_month(keyed, fuel_monthly), KEYS)
+
+
+def fact_measures(trade: DataFrame, fuel_monthly: DataFrame) -> DataFrame:
+    """The fact without dimension keys: the code, the months and the measures."""
+    return _fact_rows(join_fuel_month(trade, fuel_monthly), ())
+
+
+def _fact_rows(priced: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return priced.select(
-        *FACT_COLUMNS,
+        *keys,
+        *DEGENERATE,
+        *MEASURES,
         F.year("record_date").alias("year"),
         F.month("record_date").alias("month"),
     )
