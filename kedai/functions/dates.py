@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NANOS_PER_SECOND = 1_000_000_000
+NANOS_PER_MICRO = 1_000
 
-# Column types accepted as a point in time.
-DATETIME_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
+# Column types accepted as a point in time. Spark shows nanosecond timestamps in parquet
+# as longs, so a long is read as nanoseconds since the epoch.
+DATETIME_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType, T.LongType)
 
 
 def month_start(col: Column) -> Column:
@@ -49,20 +51,32 @@ def iso_day_of_week(col: Column) -> Column:
     return F.weekday(col) + 1
 
 
+def _whole_units(col: Column, unit: int) -> Column:
+    return F.call_function("div", col, F.lit(unit))
+
+
 def epoch_nanos_to_timestamp(col: Column) -> Column:
     """Nanoseconds since the epoch to a timestamp, cut to whole seconds."""
-    return F.timestamp_seconds(F.call_function("div", col, F.lit(NANOS_PER_SECOND)))
+    return F.timestamp_seconds(_whole_units(col, NANOS_PER_SECOND))
 
 
 def as_timestamp(col: Column, data_type: T.DataType) -> Column:
-    """Strict reading of a stored date column: epoch nanoseconds or any date type."""
+    """Strict reading of a stored date column, in whole seconds if stored as a long."""
     if isinstance(data_type, T.IntegralType):
         return epoch_nanos_to_timestamp(col)
     return col.cast("timestamp")
 
 
-def try_as_timestamp(col: Column, data_type: T.DataType) -> Column:
-    """Lenient reading of an incoming date column: what cannot be read becomes NULL."""
+def as_date(col: Column, data_type: T.DataType) -> Column:
+    if isinstance(data_type, T.IntegralType):
+        return epoch_nanos_to_timestamp(col).cast("date")
+    return col.cast("date")
+
+
+def arrival_timestamp(col: Column, data_type: T.DataType) -> Column:
+    """Reading of a delivered date column; text that is no date becomes NULL."""
     if isinstance(data_type, T.StringType):
         return F.try_to_timestamp(col)
-    return as_timestamp(col, data_type)
+    if isinstance(data_type, T.IntegralType):
+        return F.timestamp_micros(_whole_units(col, NANOS_PER_MICRO))
+    return col.cast("timestamp")

@@ -7,7 +7,7 @@ import logging
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kedai.functions.dates import DATETIME_TYPES, try_as_timestamp
+from kedai.functions.dates import DATETIME_TYPES, arrival_timestamp
 from kedai.sources.datasets import DATE_COLUMN, DAILY, Dataset
 
 logger = logging.getLogger(__name__)
@@ -38,7 +38,7 @@ def parse_dates(df: DataFrame, dataset: Dataset) -> DataFrame:
     if not dataset.lenient_dates:
         return df
     data_type = df.schema[DATE_COLUMN].dataType
-    return df.withColumn(DATE_COLUMN, try_as_timestamp(F.col(DATE_COLUMN), data_type))
+    return df.withColumn(DATE_COLUMN, arrival_timestamp(F.col(DATE_COLUMN), data_type))
 
 
 def require_dates(df: DataFrame, dataset: Dataset) -> DataFrame:
@@ -50,7 +50,7 @@ def require_dates(df: DataFrame, dataset: Dataset) -> DataFrame:
         raise DatasetSkipped(
             f"{dataset.name}: '{DATE_COLUMN}' is {data_type.simpleString()}, not a date"
         )
-    return df.withColumn(DATE_COLUMN, F.col(DATE_COLUMN).cast("timestamp"))
+    return df.withColumn(DATE_COLUMN, arrival_timestamp(F.col(DATE_COLUMN), data_type))
 
 
 def drop_null_dates(df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kedai.functions.dates import as_timestamp
+from kedai.functions.dates import as_date, as_timestamp
 from kedai.sources.datasets import DATE_COLUMN
 
 # Series values that hold absolute figures (fixed values).
@@ -18,8 +18,7 @@ def _filled(name: str) -> Column:
 
 
 def _day(df: DataFrame) -> Column:
-    """The record date of a trade row. Files written with nanosecond stamps hold longs."""
-    return as_timestamp(F.col(DATE_COLUMN), df.schema[DATE_COLUMN].dataType).cast("date")
+    return as_date(F.col(DATE_COLUMN), df.schema[DATE_COLUMN].dataType)
 
 
 def stg_iowrt(raw: DataFrame) -> DataFrame:
