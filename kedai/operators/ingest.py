@@ -53,6 +53,11 @@ def require_dates(df: DataFrame, dataset: Dataset) -> DataFrame:
     return df.withColumn(DATE_COLUMN, arrival_timestamp(F.col(DATE_COLUMN), data_type))
 
 
+def sample_dates(df: DataFrame, rows: int = 5) -> DataFrame:
+    """A few date values for the log."""
+    return df.select(DATE_COLUMN).limit(rows)
+
+
 def drop_null_dates(df: DataFrame) -> DataFrame:
     return df.na.drop(subset=[DATE_COLUMN])
 

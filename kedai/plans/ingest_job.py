@@ -7,7 +7,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kedai.operators.ingest import DatasetSkipped, prepare
+from kedai.operators.ingest import DatasetSkipped, prepare, sample_dates
 from kedai.sources.datasets import DATASETS
 from kedai.sources.readers import scan_landing
 from kedai.sources.sinks import write_raw
@@ -38,6 +38,8 @@ def ingest_dataset(spark: SparkSession, name: str, path: str, raw_root: str) ->
         read = landing.count()
         rows = prepare(landing, dataset)
         dated = rows.count()
+        if logger.isEnabledFor(logging.DEBUG):
+            logger.debug("%s: dates like %s", name, sample_dates(rows).collect())
         write_raw(rows, raw_root, dataset)
     except DatasetSkipped as reason:
         logger.warning("%s", reason)

@@ -37,8 +37,9 @@ def scan_raw(
     """The raw zone of one dataset; directories become zero-padded string columns.
 
     ``schema`` (for example ``dataset.raw_schema``) costs no footer reads and yields NULL
-    for columns that older files lack; prefer it for large zones. ``merge_schema`` finds
-    the union of all file schemas by reading every footer.
+    for columns that older files lack; prefer it where the files hold these types.
+    ``merge_schema`` finds the union of all file schemas by reading every footer in a
+    distributed job; declared columns that no file has become NULL.
     """
     path = os.path.join(root, dataset.name)
     reader = spark.read.option("basePath", path)
@@ -48,7 +49,12 @@ def scan_raw(
     padded = {
         p: F.lpad(F.col(p).cast("string"), PERIOD_WIDTH[p], "0") for p in dataset.periods
     }
-    return df.withColumns(padded)
+    absent = {
+        f.name: F.lit(None).cast(f.dataType)
+        for f in dataset.schema.fields
+        if merge_schema and f.name not in df.columns
+    }
+    return df.withColumns(padded | absent)
 
 
 def load_seed(
@@ -62,8 +68,15 @@ def load_seed(
 
 
 def register_sources(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """All raw datasets below ``root``, also as temp views under their names."""
-    frames = {name: scan_raw(spark, root, dataset) for name, dataset in DATASETS.items()}
+    """All raw datasets below ``root``, also as temp views under their names.
+
+    Schemas are merged over all files, so types are those delivered and a column that
+    came later is not missed.
+    """
+    frames = {
+        name: scan_raw(spark, root, dataset, merge_schema=True)
+        for name, dataset in DATASETS.items()
+    }
     for name, df in frames.items():
         df.createOrReplaceTempView(name)
     return frames

@@ -21,7 +21,6 @@ def spark(tmp_path_factory):
         shuffle_partitions=4,
         **{
             "spark.driver.memory": "4g",
-            "spark.checkpoint.dir": str(work / "checkpoint"),
             "spark.sql.warehouse.dir": str(work / "warehouse"),
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",

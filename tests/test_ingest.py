@@ -189,6 +189,22 @@ def test_seed_keeps_leading_zeros_and_finds_columns_by_name(spark, tmp_path):
     ]
 
 
+def test_a_column_no_file_has_stages_as_missing(spark, tmp_path):
+    landing = spark.createDataFrame(
+        [("abs", dt.date(2020, 1, 1), 1.0, 2.0)],
+        "series string, date date, sales double, volume double",
+    )
+    sinks.write_raw(ingest.prepare(landing, IOWRT_3D), str(tmp_path), IOWRT_3D)
+    raw = readers.scan_raw(spark, str(tmp_path), IOWRT_3D, merge_schema=True)
+    assert raw.first().group_code is None
+    assert stg_iowrt_3d(raw).isEmpty()
+
+
+def test_sample_dates(spark):
+    rows = ingest.prepare(fuel(spark, ["2017-03-15"] * 9), FUELPRICE)
+    assert len(ingest.sample_dates(rows).collect()) == 5
+
+
 def test_older_files_without_a_column_read_as_null(spark, tmp_path):
     rows = ingest.prepare(
         trade(spark, [("abs", dt.date(2020, m, 1), "471", 1.0, 5.0) for m in (1, 2)]), IOWRT_3D

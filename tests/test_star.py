@@ -230,7 +230,9 @@ def test_gate_stops_before_the_fact_is_replaced(spark, small):
     assert not spark.catalog.tableExists("gated.fct_retail_sales_monthly")
 
 
-def test_daily_run_end_to_end(spark, tmp_path):
+@pytest.fixture
+def delivered(spark, tmp_path):
+    """A small delivery of all datasets and the lookup file."""
     landing = {name: str(tmp_path / name) for name in ("iowrt", "iowrt_3d", "fuelprice")}
     months = [dt.date(2020, m, 1) for m in (1, 2)]
     spark.createDataFrame(
@@ -243,22 +245,38 @@ def test_daily_run_end_to_end(spark, tmp_path):
         "series string, date date, group string, sales double, volume double",
     ).write.parquet(landing["iowrt_3d"])
     spark.createDataFrame(
-        [("level", "2020-01-07", 2.0, 2.4, 2.1, 2.2), ("change_weekly", "2020-01-07", 0.1, 0.0, 0.0, 0.0)],
+        [
+            ("level", "2020-01-07", 2.0, 2.4, 2.1, 2.2),
+            ("change_weekly", "2020-01-07", 0.1, 0.0, 0.0, 0.0),
+        ],
         "series_type string, date string, ron95 double, ron97 double, diesel double, "
         "diesel_eastmsia double",
     ).write.parquet(landing["fuelprice"])
     seed = tmp_path / "lookup.csv"
     seed.write_text("group_code,desc_en,desc_bm\n011,Crops,Tanaman\n471,Retail,Runcit\n471,x,y\n")
+    return landing, str(seed)
+
+
+def test_daily_run_end_to_end(spark, tmp_path, delivered):
+    landing, seed = delivered
 
     def run():
         return run_daily(
-            spark, landing, str(seed), str(tmp_path / "raw"), "daily", str(tmp_path / "star"),
-            as_of=dt.date(2020, 2, 15), gate=True,
+            spark,
+            landing,
+            seed,
+            str(tmp_path / "raw"),
+            "daily",
+            str(tmp_path / "star"),
+            as_of=dt.date(2020, 2, 15),
+            gate=True,
         )
 
     audit, star, checks = run()
     assert {r.dataset: r.rows_written for r in audit.collect()} == {
-        "iowrt": 2, "iowrt_3d": 5, "fuelprice": 2
+        "iowrt": 2,
+        "iowrt_3d": 5,
+        "fuelprice": 2,
     }
     assert star.fact.count() == 4
     assert checks.where("status = 'fail'").isEmpty()
@@ -270,6 +288,21 @@ def test_daily_run_end_to_end(spark, tmp_path):
     assert sorted(map(tuple, again.fact.collect())) == first
 
 
+def test_job_exit_codes(spark, tmp_path, delivered):
+    import daily_job
+
+    landing, seed = delivered
+    arguments = [a for name, path in landing.items() for a in ("--landing", f"{name}={path}")]
+    arguments += ["--seed", seed, "--raw-root", str(tmp_path / "raw"), "--namespace", "job"]
+    arguments += ["--root", str(tmp_path / "star"), "--as-of", "2020-02-15"]
+    assert daily_job.main(arguments) == 0
+    assert spark.table("job.fct_retail_sales_monthly").count() == 4
+    assert daily_job.main(["--seed", seed]) == 1
+    late = [*arguments[:-1], "2017-06-01"]  # the calendar ends before the trade rows
+    assert daily_job.main(late) == 1
+    assert daily_job.main([*late, "--gate"]) == 1
+
+
 def test_require_passing_ignores_warnings(spark):
     rows = [("not_null", "t", "c", "warn", 1, "warn")]
     require_passing(
