@@ -1,9 +1,10 @@
-"""Landing zone to raw zone, one dataset after the other, each on its own."""
+"""Landing zone to raw zone, each dataset on its own."""
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,6 +52,15 @@ def ingest_dataset(spark: SparkSession, name: str, path: str, raw_root: str) ->
 
 
 def ingest(spark: SparkSession, landing: Mapping[str, str], raw_root: str) -> DataFrame:
-    """Ingest the given datasets (name -> landing path); returns the audit relation."""
-    rows = [ingest_dataset(spark, name, path, raw_root) for name, path in landing.items()]
+    """Ingest the given datasets (name -> landing path); returns the audit relation.
+
+    The datasets share no files, so their jobs run side by side: one can use the cluster
+    while another moves its finished files in place.
+    """
+
+    def run(item: tuple[str, str]) -> tuple:
+        return ingest_dataset(spark, *item, raw_root)
+
+    with ThreadPoolExecutor(max_workers=max(1, len(landing))) as pool:
+        rows = list(pool.map(run, landing.items()))
     return spark.createDataFrame(rows, AUDIT_SCHEMA)

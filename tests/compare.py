@@ -23,7 +23,7 @@ def _plain(value):
     if isinstance(value, decimal.Decimal):
         value = float(value)
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else repr(value)
+        return "nan" if math.isnan(value) else repr(value + 0.0)  # -0.0 equals 0.0
     if isinstance(value, dt.datetime):
         return value.replace(tzinfo=None).isoformat(sep=" ")
     return "∅" if value is None else str(value)
