@@ -16,7 +16,7 @@ from kedai.operators import ingest, intermediate, joins, quality, staging
 from kedai.plans import analytics, marts
 from kedai.plans.daily import build_star, check_star
 from kedai.plans.ingest_job import ingest as ingest_all
-from kedai.session import apply_semantics, work_path
+from kedai.session import prepare, work_path
 from kedai.sources import readers, sinks
 from kedai.sources.datasets import DATASETS, FUELPRICE, IOWRT, IOWRT_3D
 
@@ -35,7 +35,7 @@ FILTER_GROUPS = ["Brand#11", "Brand#13", "Brand#42"]
 def query(function: Query) -> Query:
     @functools.wraps(function)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return function(apply_semantics(spark), sf_dir)
+        return function(prepare(spark), sf_dir)
 
     _QUERIES[function.__name__.strip("_")] = run
     return run

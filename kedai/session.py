@@ -15,6 +15,10 @@ SEMANTICS = {
     "spark.sql.legacy.parquet.nanosAsLong": "true",
 }
 
+# A bucketed scan is one task per bucket, which a hot group or a large fact outgrows;
+# partial aggregates and a small shuffle do not. Tables are still written in buckets.
+SCANS = {"spark.sql.sources.bucketing.enabled": "false"}
+
 # Physical settings for a cluster. Shuffles start fine-grained and AQE merges them
 # to about one advisory size per task; hot join keys are split by the skew join.
 PHYSICAL = {
@@ -40,17 +44,17 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = {**PHYSICAL, **SEMANTICS, "spark.ui.enabled": "false"}
+    settings = {**PHYSICAL, "spark.ui.enabled": "false"}
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for key, value in {**settings, **conf}.items():
         builder = builder.config(key, value)
-    return apply_semantics(builder.getOrCreate())
+    return prepare(builder.getOrCreate())
 
 
-def apply_semantics(spark: SparkSession) -> SparkSession:
-    """Set only what results depend on, leaving a given session's tuning alone."""
-    for key, value in SEMANTICS.items():
+def prepare(spark: SparkSession) -> SparkSession:
+    """Set what results depend on and the kind of scan; other tuning is left alone."""
+    for key, value in {**SEMANTICS, **SCANS}.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
