@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kedai import fixtures as fx
+from kedai.functions import keys
 from kedai.functions.dates import epoch_nanos_to_timestamp
-from kedai.functions.keys import surrogate_key
 from kedai.operators import dimensions as dims
 from kedai.operators import ingest, intermediate, joins, quality, staging
 from kedai.plans import analytics, marts
@@ -37,7 +37,7 @@ def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return function(prepare(spark), sf_dir)
 
-    _QUERIES[function.__name__.strip("_")] = run
+    _QUERIES[function.__name__] = run
     return run
 
 
@@ -302,12 +302,12 @@ def ns_epoch_to_timestamp(spark, sf_dir):
 
 
 @query
-def surrogate_key_(spark, sf_dir):
+def surrogate_key(spark, sf_dir):
     parts = fx.table(spark, sf_dir, "part").withColumn("group_code", fx.group_code())
     return parts.select(
         "p_partkey",
-        surrogate_key(F.col("group_code")).alias("code_key"),
-        surrogate_key(F.col("group_code"), F.col("p_size")).alias("code_size_key"),
+        keys.surrogate_key(F.col("group_code")).alias("code_key"),
+        keys.surrogate_key(F.col("group_code"), F.col("p_size")).alias("code_size_key"),
     )
 
 
@@ -452,11 +452,12 @@ def dq_not_null(spark, sf_dir):
     )
     checks = [c for c in quality.fact_row_checks() if c.test == "not_null"]
     prices = [quality.not_null(p, quality.WARN) for p in analytics.FACT_PRICES]
-    keys = {"dim_date": (days, "date_key", "full_date")}
-    keys["dim_msic_group"] = (groups, "msic_group_key", "msic_group_code")
     dimensions = [
         quality.row_checks(df, name, [quality.not_null(c) for c in columns])
-        for name, (df, *columns) in keys.items()
+        for name, df, *columns in (
+            ("dim_date", days, "date_key", "full_date"),
+            ("dim_msic_group", groups, "msic_group_key", "msic_group_code"),
+        )
     ]
     measures = quality.row_checks(fact, "fct_retail_sales_monthly", checks + prices)
     return quality.summary([*dimensions, measures])

@@ -2,24 +2,22 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-# Columns of the generated tables that the relations use; stating them saves the pass
-# over a file footer that every scan would otherwise start with.
-SCHEMAS = {
-    "lineitem": "l_partkey long, l_quantity double, l_extendedprice double, "
-    "l_discount double, l_returnflag string, l_shipdate timestamp_ntz",
-    "orders": "o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
-    "o_orderpriority string",
-    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int",
-    "events": "event_id long, ts timestamp_ntz",
-}
+@functools.lru_cache(maxsize=None)
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    """Read a footer once per session instead of once per scan."""
+    return spark.read.parquet(path).schema
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def epoch_nanos(col: Column) -> Column:

@@ -283,6 +283,17 @@ def test_daily_run_end_to_end(spark, tmp_path, delivered):
     assert checks.count() == 18
     for view in ("iowrt", "stg_iowrt", "stg_iowrt_3d", "stg_fuelprice", "stg_msic_lookup"):
         assert spark.catalog.tableExists(view)
+    monthly = spark.sql(
+        """
+        SELECT d.year_month, g.group_desc_en, SUM(f.sales_value_rm_mil) AS sales
+        FROM daily.fct_retail_sales_monthly f
+        JOIN daily.dim_date d ON f.date_key = d.date_key
+        JOIN daily.dim_msic_group g ON f.msic_group_key = g.msic_group_key
+        WHERE f.year = 2020 AND f.month = 2
+        GROUP BY ALL ORDER BY ALL
+        """
+    ).collect()
+    assert [tuple(r) for r in monthly] == [("2020-02", "Crops", 10.0), ("2020-02", "Retail", 10.0)]
     first = sorted(map(tuple, star.fact.collect()))
     _, again, _ = run()
     assert sorted(map(tuple, again.fact.collect())) == first
