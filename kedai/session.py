@@ -15,9 +15,15 @@ SEMANTICS = {
     "spark.sql.legacy.parquet.nanosAsLong": "true",
 }
 
+# How this library's plans run in any session.
 # A bucketed scan is one task per bucket, which a hot group or a large fact outgrows;
 # partial aggregates and a small shuffle do not. Tables are still written in buckets.
-SCANS = {"spark.sql.sources.bucketing.enabled": "false"}
+# A writer task with few bytes may still have thousands of period files to create, so
+# merging small shuffle partitions stops earlier than at the default of 1 MB.
+EXECUTION = {
+    "spark.sql.sources.bucketing.enabled": "false",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+}
 
 # Physical settings for a cluster. Shuffles start fine-grained and AQE merges them
 # to about one advisory size per task; hot join keys are split by the skew join.
@@ -53,8 +59,8 @@ def build_session(
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Set what results depend on and the kind of scan; other tuning is left alone."""
-    for key, value in {**SEMANTICS, **SCANS}.items():
+    """Apply the settings above to a session; its other tuning is left alone."""
+    for key, value in {**SEMANTICS, **EXECUTION}.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark

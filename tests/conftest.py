@@ -23,7 +23,6 @@ def spark(tmp_path_factory):
             "spark.driver.memory": "4g",
             "spark.sql.warehouse.dir": str(work / "warehouse"),
             "spark.ui.showConsoleProgress": "false",
-            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
