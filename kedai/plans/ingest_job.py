@@ -47,7 +47,8 @@ def ingest_dataset(spark: SparkSession, name: str, path: str, raw_root: str) ->
         return name, SKIPPED, read, 0, 0, 0, str(reason)
     except Exception as error:  # noqa: BLE001 - one dataset must not stop the others
         logger.error("%s: %s", name, error)
-        return name, FAILED, read, 0, dated, read - dated, type(error).__name__
+        reason = f"{type(error).__name__}: {error}".splitlines()[0]
+        return name, FAILED, read, 0, dated, read - dated if dated else 0, reason
     return name, WRITTEN, read, dated, 0, read - dated, None
 
 

@@ -46,7 +46,7 @@ def build_session(
     shuffle_partitions: int | None = None,
     **conf: str,
 ) -> SparkSession:
-    """A session with the library's settings; ``conf`` overrides any of them."""
+    """A session with the library's settings; ``conf`` overrides the physical ones."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -74,5 +74,7 @@ def work_path(spark: SparkSession, name: str) -> str:
         if not master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         app = spark.conf.get("spark.app.id", master)
-        root = _local_dirs.setdefault(app, tempfile.mkdtemp(prefix="kedai-"))
+        if app not in _local_dirs:
+            _local_dirs[app] = tempfile.mkdtemp(prefix="kedai-")
+        root = _local_dirs[app]
     return os.path.join(root.rstrip("/"), "kedai", f"{name}-{uuid.uuid4().hex}")

@@ -18,6 +18,7 @@ class Dataset:
     name: str
     schema: T.StructType  # raw zone, without the period columns
     renames: dict[str, str]  # landing name -> raw name
+    series: str = "series"  # the column staging filters on
     periods: tuple[str, ...] = MONTHLY
     lenient_dates: bool = False
     accepted: dict[str, tuple[str, ...]] = field(default_factory=dict)
@@ -65,6 +66,7 @@ FUELPRICE = Dataset(
         diesel_eastmsia=_NUMBER,
     ),
     renames={"date": DATE_COLUMN},
+    series="series_type",
     periods=DAILY,
     lenient_dates=True,
     accepted={"series_type": ("level", "change_weekly")},

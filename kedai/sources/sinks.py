@@ -31,11 +31,17 @@ def with_periods(df: DataFrame, dataset: Dataset) -> DataFrame:
 
 
 def write_raw(df: DataFrame, root: str, dataset: Dataset) -> str:
-    """Replace the periods present in ``df``; other periods stay as they are."""
+    """Replace the periods present in ``df``; other periods stay as they are.
+
+    Rows are sorted by period, as the partitioned writer would do anyway, and then by
+    series, so that the filter of staging skips pages and row groups.
+    """
     path = os.path.join(root, dataset.name)
+    order = [*dataset.periods, *({dataset.series} & set(df.columns))]
     (
         with_periods(df, dataset)
         .hint("rebalance", *dataset.periods)
+        .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
@@ -89,6 +95,7 @@ def write_fact(
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(*FACT_PARTITIONS)
         .bucketBy(buckets, FACT_BUCKET_COLUMN)
+        .sortBy(FACT_BUCKET_COLUMN)
     )
     if path:
         writer = writer.option("path", path)

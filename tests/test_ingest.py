@@ -133,6 +133,17 @@ def test_a_hot_period_is_split_and_small_ones_are_not(spark, tmp_path, conf):
     assert readers.scan_raw(spark, str(tmp_path), IOWRT_3D).count() == 300_000
 
 
+def test_files_are_sorted_by_series(spark, tmp_path):
+    day = dt.date(2020, 1, 1)
+    kinds = ["growth_yoy", "abs", "growth_mom"] * 50
+    rows = trade(spark, [(k, day, "471", 1.0, 1.0) for k in kinds]).repartition(3)
+    sinks.write_raw(ingest.prepare(rows, IOWRT_3D), str(tmp_path), IOWRT_3D)
+    folder = tmp_path / "iowrt_3d" / "year=2020" / "month=01"
+    (file,) = folder.glob("*.parquet")
+    series = pq.ParquetFile(file).read().column("series").to_pylist()
+    assert series == sorted(kinds)
+
+
 def test_period_filter_prunes_directories(spark, tmp_path):
     months = [dt.date(2020, m, 1) for m in (1, 2, 3)]
     rows = trade(spark, [("abs", m, "471", 1.0, 1.0) for m in months])
