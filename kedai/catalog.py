@@ -283,9 +283,10 @@ def stg_msic_lookup(spark, sf_dir):
 
 @query
 def msic_three_digit(spark, sf_dir):
-    """Part keys play the codes: theirs have one to many digits."""
+    """Brand number and part size make codes of two to four digits, with a blank to trim."""
+    brand = F.substring_index("p_brand", "#", -1)
     codes = fx.table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("string").alias("group_code"),
+        F.concat(brand, F.col("p_size"), F.lit(" ")).alias("group_code"),
         F.col("p_name").alias("desc_en"),
         F.col("p_type").alias("desc_bm"),
     )
@@ -519,7 +520,7 @@ def dq_summary(spark, sf_dir):
     """Publish the whole star as tables, then run every test on the tables."""
     root = work_path(spark, "star")
     namespace = "kedai_" + root.rsplit("-", 1)[1]
-    sinks.create_namespace(spark, namespace)
+    sinks.create_namespace(spark, namespace, root)
     relations = {
         "stg_iowrt_3d": _trade_lines(spark, sf_dir),
         "stg_fuelprice": _fuel(spark, sf_dir),

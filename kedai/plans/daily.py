@@ -103,7 +103,7 @@ def run_daily(
     still being written.
     """
     if namespace:
-        create_namespace(spark, namespace)
+        create_namespace(spark, namespace, root)
     audit = ingest(spark, landing, raw_root)
     seed_name = "msic_lookup"
     seed = publish_table(

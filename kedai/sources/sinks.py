@@ -103,5 +103,7 @@ def write_fact(
     return fact.sparkSession.table(table)
 
 
-def create_namespace(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+def create_namespace(spark: SparkSession, name: str, root: str | None = None) -> None:
+    """A database for published tables, kept where they are."""
+    location = f" LOCATION '{root}'" if root else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{location}")

@@ -214,9 +214,12 @@ QUERIES: dict[str, str] = {
     "stg_fuelprice": "SELECT * FROM stg_fuelprice",
     "stg_msic_lookup": "SELECT * FROM stg_msic_lookup",
     "msic_three_digit": """
-        SELECT CAST(p_partkey AS VARCHAR) AS msic_group_code, p_name AS group_desc_en,
-               p_type AS group_desc_bm
-        FROM part WHERE length(trim(CAST(p_partkey AS VARCHAR))) = 3
+        SELECT * FROM (
+            SELECT split_part(p_brand, '#', 2) || CAST(p_size AS VARCHAR) || ' '
+                       AS msic_group_code,
+                   p_name AS group_desc_en, p_type AS group_desc_bm
+            FROM part)
+        WHERE length(trim(msic_group_code)) = 3
     """,
     "ns_epoch_to_timestamp": """
         SELECT event_id, epoch_ns(ts) AS epoch_ns, date_trunc('second', ts) AS ts_second
