@@ -53,6 +53,28 @@ def batch_rows(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple
         yield from zip(*(batch.column(name).to_pylist() for name in names), strict=True)
 
 
+def column_batches(
+    parts: Iterator[list[np.ndarray]], names: list[str], rows: int = 1 << 17
+) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of about ``rows`` rows from many short column sets."""
+    held: list[list[np.ndarray]] = []
+    size = 0
+
+    def batch() -> pa.RecordBatch:
+        columns = [pa.array(np.concatenate(column)) for column in zip(*held, strict=True)]
+        held.clear()
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size >= rows or len(held) >= rows:
+            yield batch()
+            size = 0
+    if held:
+        yield batch()
+
+
 def mix64(values: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64-bit values (the constants are SplitMix64's)."""
     x = values.astype(np.uint64, copy=True)

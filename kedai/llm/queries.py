@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kedai.llm import packing, planes
+from kedai.llm import packing, planes, substring
 from kedai.llm.common import read_table
 from kedai.session import work_path
 
@@ -42,6 +42,12 @@ def op8_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of every document when windows of 50 words that an earlier one has are cut."""
+    return substring.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 ids; null texts are empty."""
@@ -49,5 +55,29 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+# Every window as text: one row per window of 50 words, so for small inputs only.
+OP9_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), spans AS (
+  SELECT row, doc_id, unnest(range(1, len(words) - 48)) AS start, words FROM docs WHERE len(words) >= 50
+), windows AS (
+  SELECT row, doc_id, start, array_to_string(words[start:start + 49], ' ') AS run FROM spans
+), cuts AS (
+  SELECT row, start FROM (SELECT *, min(doc_id) OVER (PARTITION BY run) AS first FROM windows)
+  WHERE first < doc_id
+), covered AS (
+  SELECT DISTINCT row, unnest(range(start, start + 50)) AS place FROM cuts
+), gone AS (
+  SELECT row, count(*) AS n, list(place) AS places FROM covered GROUP BY row
+)
+SELECT d.doc_id, len(words) AS n_words, coalesce(g.n, 0) AS n_removed,
+  sha256(CASE WHEN g.n IS NULL THEN array_to_string(words, ' ')
+    ELSE array_to_string([w FOR w, i IN words IF NOT list_contains(g.places, i)], ' ') END) AS kept_sha256
+FROM docs d LEFT JOIN gone g ON d.row = g.row
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_substring_dedup": OP9_SQL}
