@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kedai.llm import packing, planes, substring
+from kedai.llm import neardup, packing, planes, substring
 from kedai.llm.common import read_table
 from kedai.session import work_path
 
@@ -32,6 +32,12 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of 3-word shingles have 85 hundredths in common."""
+    return neardup.link_groups(read_table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
 @query
 def op8_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents through plane files and back; null texts are empty."""
@@ -55,6 +61,35 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+# Pairs that share a shingle, counted shingle by shingle, then closed over links: small inputs only.
+OP5_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE [array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)] END) AS s FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingles x JOIN shingles y
+  ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared s JOIN sizes p ON a = p.doc_id JOIN sizes q ON b = q.doc_id
+  WHERE 100 * s.n >= 85 * (p.n + q.n - s.n)
+), edges AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id, doc_id AS r FROM documents
+  UNION
+  SELECT reach.doc_id, e.b FROM reach JOIN edges e ON reach.r = e.a
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept
+FROM documents d JOIN (SELECT doc_id, min(r) AS c FROM reach GROUP BY doc_id) m ON d.doc_id = m.doc_id
+LEFT JOIN sizes s ON d.doc_id = s.doc_id
+"""
+
 # Every window as text: one row per window of 50 words, so for small inputs only.
 OP9_SQL = r"""
 WITH docs AS (
@@ -80,4 +115,4 @@ FROM docs d LEFT JOIN gone g ON d.row = g.row
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_substring_dedup": OP9_SQL}
+    return {"op5_near_duplicates": OP5_SQL, "op9_substring_dedup": OP9_SQL}
