@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kedai.llm import neardup, packing, planes, substring
+from kedai.llm import licenses, neardup, packing, planes, substring
 from kedai.llm.common import read_table
 from kedai.session import work_path
 
@@ -38,6 +38,12 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link_groups(read_table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+@query
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences named or quoted in every document."""
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents through plane files and back; null texts are empty."""
