@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kedai.llm import licenses, neardup, packing, planes, substring
+from kedai.llm import licenses, neardup, packing, planes, quality, substring
 from kedai.llm.common import read_table
 from kedai.session import work_path
 
@@ -32,6 +32,13 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of all documents, learnt outside the held-out fold."""
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.score(docs, read_table(spark, sf_dir, "labels"))
+
+
 @query
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose sets of 3-word shingles have 85 hundredths in common."""
