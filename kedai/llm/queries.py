@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kedai.llm import licenses, neardup, packing, planes, quality, substring
+from kedai.llm import ann, licenses, neardup, packing, planes, quality, substring
 from kedai.llm.common import read_table
 from kedai.session import work_path
 
@@ -32,6 +32,12 @@ def tokenizer_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows, by inner product, of every embedding whose id is divisible by 20."""
+    return ann.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents, learnt outside the held-out fold."""
