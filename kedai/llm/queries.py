@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kedai.llm import ann, licenses, neardup, packing, planes, quality, substring
+from kedai.llm import ann, chat, licenses, neardup, packing, planes, quality, substring
 from kedai.llm.common import read_table
 from kedai.session import work_path
 
@@ -51,6 +51,12 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.link_groups(read_table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+@query
+def op6_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations that are no snapshot of a longer one, rendered for training."""
+    return chat.collapse(read_table(spark, sf_dir, "conversations"))
+
+
 @query
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences named or quoted in every document."""
@@ -109,6 +115,26 @@ FROM documents d JOIN (SELECT doc_id, min(r) AS c FROM reach GROUP BY doc_id) m
 LEFT JOIN sizes s ON d.doc_id = s.doc_id
 """
 
+# Conversations as lists of turns, compared pair by pair: small inputs only.
+OP6_SQL = r"""
+WITH turns AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+), whole AS (
+  SELECT conv_id, list({'turn': turn, 'role': role, 'text': text}
+    ORDER BY turn NULLS FIRST, role, text) AS l FROM turns GROUP BY conv_id
+), classes AS (
+  SELECT min(conv_id) AS conv_id, count(*) AS copies, l FROM whole GROUP BY l
+), longest AS (
+  SELECT conv_id, copies, len(l) AS n_turns FROM classes a WHERE NOT EXISTS (
+    SELECT 1 FROM classes b WHERE len(b.l) > len(a.l) AND b.l[1:len(a.l)] = a.l)
+)
+SELECT conv_id, CAST(coalesce(floor(turn / 1024), -18014398509481984) AS BIGINT) AS part, n_turns, copies,
+  string_agg('<|im_start|>' || replace(role, '<|', '< |') || chr(10) || replace(text, '<|', '< |')
+    || '<|im_end|>' || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS text
+FROM turns JOIN longest USING (conv_id) GROUP BY ALL
+"""
+
 # Every window as text: one row per window of 50 words, so for small inputs only.
 OP9_SQL = r"""
 WITH docs AS (
@@ -134,4 +160,4 @@ FROM docs d LEFT JOIN gone g ON d.row = g.row
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_near_duplicates": OP5_SQL, "op9_substring_dedup": OP9_SQL}
+    return {"op5_near_duplicates": OP5_SQL, "op6_chat_snapshots": OP6_SQL, "op9_substring_dedup": OP9_SQL}
