@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kedai.llm import ann, chat, licenses, neardup, packing, planes, quality, substring
+from kedai.llm import ann, chat, decontaminate, licenses, neardup, packing, planes, quality, substring
 from kedai.llm.common import read_table
 from kedai.session import work_path
 
@@ -38,6 +38,13 @@ def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read_table(spark, sf_dir, "embeddings"))
 
 
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item and the place."""
+    docs, benchmark = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return decontaminate.contaminated(docs, benchmark).drop("text_key")
+
+
 @query
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents, learnt outside the held-out fold."""
@@ -115,6 +122,45 @@ FROM documents d JOIN (SELECT doc_id, min(r) AS c FROM reach GROUP BY doc_id) m
 LEFT JOIN sizes s ON d.doc_id = s.doc_id
 """
 
+# All windows that share a shingle with an item, without fingerprints.
+OP2_SQL = r"""
+WITH items AS (
+  SELECT item_id, [w FOR w IN regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+') IF w <> ''] AS words
+  FROM benchmark
+), docs AS (
+  SELECT doc_id, [w FOR w IN regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{M}\p{N}]+') IF w <> ''] AS words
+  FROM documents
+), postings AS (
+  SELECT item_id, len(words) AS length, i - 1 AS place, array_to_string(words[i:i + 4], ' ') AS shingle
+  FROM (SELECT *, unnest(range(1, len(words) - 3)) AS i FROM items WHERE len(words) >= 5)
+), weights AS (
+  SELECT shingle, 1.0::DOUBLE / count(DISTINCT item_id) AS weight FROM postings GROUP BY shingle
+), weighted AS (
+  SELECT DISTINCT item_id, shingle, weight FROM postings JOIN weights USING (shingle)
+), whole AS (
+  SELECT item_id, sum(weight) AS weight FROM weighted GROUP BY item_id
+), spots AS (
+  SELECT doc_id, i - 1 AS place, array_to_string(words[i:i + 4], ' ') AS shingle
+  FROM (SELECT *, unnest(range(1, len(words) - 3)) AS i FROM docs WHERE len(words) >= 5)
+), windows AS (
+  SELECT DISTINCT s.doc_id, p.item_id, s.place - p.place AS start, p.length
+  FROM spots s JOIN postings p ON s.shingle = p.shingle
+), held AS (
+  SELECT DISTINCT w.doc_id, w.item_id, w.start, w.length, s.shingle FROM windows w
+  JOIN spots s ON s.doc_id = w.doc_id AND s.place >= w.start AND s.place + 5 <= w.start + w.length
+), scored AS (
+  SELECT h.doc_id, h.item_id, h.start, h.length, round(sum(x.weight) / any_value(t.weight), 6) AS similarity
+  FROM held h JOIN weighted x ON x.item_id = h.item_id AND x.shingle = h.shingle
+  JOIN whole t ON t.item_id = h.item_id GROUP BY ALL
+), best AS (
+  SELECT * FROM scored WHERE similarity >= 0.8
+  QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) = 1
+)
+SELECT doc_id, item_id, CAST(start AS INTEGER) AS start,
+  CAST(least(start + length, len(words)) - greatest(start, 0) AS INTEGER) AS n_words, similarity
+FROM best JOIN docs USING (doc_id)
+"""
+
 # Conversations as lists of turns, compared pair by pair: small inputs only.
 OP6_SQL = r"""
 WITH turns AS (
@@ -160,4 +206,9 @@ FROM docs d LEFT JOIN gone g ON d.row = g.row
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_near_duplicates": OP5_SQL, "op6_chat_snapshots": OP6_SQL, "op9_substring_dedup": OP9_SQL}
+    return {
+        "op2_decontamination": OP2_SQL,
+        "op5_near_duplicates": OP5_SQL,
+        "op6_chat_snapshots": OP6_SQL,
+        "op9_substring_dedup": OP9_SQL,
+    }
