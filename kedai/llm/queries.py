@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kedai.llm import ann, chat, decontaminate, licenses, neardup, packing, planes, quality, substring
+from kedai.llm import ann, chat, decontaminate, licenses, neardup, packing, pii, planes, quality, substring
 from kedai.llm.common import read_table
 from kedai.session import work_path
 
@@ -45,6 +45,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(docs, benchmark).drop("text_key")
 
 
+@query
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    return pii.find(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality scores of all documents, learnt outside the held-out fold."""
