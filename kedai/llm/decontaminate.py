@@ -208,6 +208,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = SIM
     """The documents that hold no passage of the benchmark; all their columns as they were."""
     found = contaminated(docs, benchmark, similarity).select("doc_id", "text_key").distinct()
     found = store(found, "contaminated")
+    found = _small(found.toDF("__doc", "__text"), found.count())
     keyed = docs.withColumn("__key", F.xxhash64(text_or_empty()))
-    same = keyed["doc_id"].cast("long").eqNullSafe(found["doc_id"]) & (keyed["__key"] == found["text_key"])
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__key") == F.col("__text"))
     return keyed.join(found, same, "left_anti").drop("__key")

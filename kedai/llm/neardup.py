@@ -290,3 +290,27 @@ def link_groups(
         )
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each group of near duplicates, the one with the smallest id; all columns.
+
+    Rows that repeat both id and text count once; see ``link_groups`` for everything else. Only rows
+    that repeat an id are shuffled with their texts.
+    """
+    groups = store(link_groups(docs, size, percent), "groups")
+    gone = store(groups.where(~F.col("kept")).select(F.col("doc_id").alias("__doc")).distinct(), "gone")
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("__doc"), "left_anti")
+    again = store(
+        groups.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__doc")),
+        "repeated",
+    )
+    repeated = again.count()
+    if not repeated:
+        return left
+    again = F.broadcast(again) if repeated <= BROADCAST_IDS else again
+    same = F.col("doc_id").cast("long") == F.col("__doc")
+    return left.join(again, same, "left_anti").unionByName(
+        left.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    )

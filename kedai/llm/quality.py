@@ -213,6 +213,13 @@ def train(rows: DataFrame, labels: DataFrame) -> Model | None:
     return fit(np.array(known[True], dtype=np.float64), np.array(known[False], dtype=np.float64))
 
 
+def _scores(model: Model | None, texts: pa.Array) -> np.ndarray:
+    found = [features(text or "") for text in texts.to_pylist()]
+    if model is None or not found:
+        return np.full(len(found), 0.5)
+    return model.score(np.array(found))
+
+
 def score(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -234,11 +241,7 @@ def score(
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [features(text) for (text,) in batch_rows(iter([batch]), "text")]
-            if model is None or not found:
-                values = np.full(len(found), 0.5)
-            else:
-                values = model.score(np.array(found))
+            values = _scores(model, batch.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("held_out"), pa.array(values, pa.float64())],
                 names=["doc_id", "held_out", "score"],
@@ -249,3 +252,23 @@ def score(
         .mapInArrow(scores, "doc_id long, held_out boolean, score double")
         .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
     )
+
+
+def keep_good(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The documents that ``score`` predicts as good, with all their columns as they were.
+
+    Rows are judged where they are read, so no text is shuffled.
+    """
+    small_batches(docs.sparkSession)
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")
+    )
+    model = train(rows, labels)
+
+    def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_scores(model, batch.column(text_col)) >= THRESHOLD))
+
+    return docs.mapInArrow(good, docs.schema)
