@@ -208,7 +208,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = SIM
     """The documents that hold no passage of the benchmark; all their columns as they were."""
     found = contaminated(docs, benchmark, similarity).select("doc_id", "text_key").distinct()
     found = store(found, "contaminated")
-    found = _small(found.toDF("__doc", "__text"), found.count())
-    keyed = docs.withColumn("__key", F.xxhash64(text_or_empty()))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.col("__key") == F.col("__text"))
-    return keyed.join(found, same, "left_anti").drop("__key")
+    found = _small(found.toDF("found_id", "found_key"), found.count())
+    keyed = docs.select(
+        F.struct("*").alias("row"),
+        F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64(text_or_empty()).alias("key"),
+    )
+    same = F.col("id").eqNullSafe(F.col("found_id")) & (F.col("key") == F.col("found_key"))
+    return keyed.join(found, same, "left_anti").select("row.*")

@@ -259,15 +259,21 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     )
 
 
-def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with every span replaced by its kind in brackets; other columns as they were.
 
     Spans that overlap are replaced together under the kind of the first one.
     """
-    keyed = docs.withColumn("text_key", F.xxhash64(text_or_empty(text_col)))
-    profiles = store(profile(_documents(docs, "doc_id", text_col)), "entities")
+    whole_row = F.struct("*").alias("row")
+    keyed = docs.select(
+        whole_row,
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(text_col).alias("text"),
+        F.xxhash64(text_or_empty(text_col)).alias("text_key"),
+    )
+    profiles = store(profile(_documents(docs, id_col, text_col)), "entities")
     rows = _with_added(keyed, profiles)
-    text = F.col(text_col)
+    text = F.col("text")
     spans = F.array_sort(F.concat(base_spans(text), F.col("added")))
     begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
@@ -288,4 +294,4 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
         lambda state: F.concat(F.array_join(state["out"], ""), F.substring(text, state["at"] + 1, F.length(text))),
     )
     clean = F.when(text.isNull() | (F.size(spans) == 0), text).otherwise(whole)
-    return rows.withColumn(text_col, clean).select(*docs.columns)
+    return rows.withColumn("row", F.col("row").withField(f"`{text_col}`", clean)).select("row.*")
