@@ -14,8 +14,9 @@ from kedai.functions.dates import epoch_nanos_to_timestamp
 from kedai.operators import dimensions as dims
 from kedai.operators import ingest, intermediate, joins, quality, staging
 from kedai.plans import analytics, marts
-from kedai.plans.daily import build_star, check_star
+from kedai.plans.daily import build_star
 from kedai.plans.ingest_job import ingest as ingest_all
+from kedai.plans.ingest_job import written_periods
 from kedai.session import prepare, work_path
 from kedai.sources import readers, sinks
 from kedai.sources.datasets import DATASETS, FUELPRICE, IOWRT, IOWRT_3D
@@ -68,28 +69,36 @@ def _fuel_monthly(spark, sf_dir):
     return intermediate.int_fuelprice_monthly(_fuel(spark, sf_dir))
 
 
-def _lookup(spark, sf_dir):
-    return staging.stg_msic_lookup(fx.msic_lookup(spark, sf_dir))
+def _lookup(spark, sf_dir, complete=True):
+    return staging.stg_msic_lookup(fx.msic_lookup(spark, sf_dir, complete))
 
 
 def _days(spark, sf_dir):
     return dims.dim_date(dims.date_spine(fx.calendar_bounds(spark, sf_dir)))
 
 
-def _groups(spark, sf_dir):
+def _groups(spark, sf_dir, complete=True):
     """The group dimension as a published relation, so its size is known to the joins."""
-    dimension = dims.dim_msic_group(_lookup(spark, sf_dir))
+    dimension = dims.dim_msic_group(_lookup(spark, sf_dir, complete))
     return sinks.publish(dimension, work_path(spark, "dim_msic_group"))
 
 
-def _fact_of(trade, spark, sf_dir):
+def _fact_of(trade, spark, sf_dir, complete=True):
+    groups = _groups(spark, sf_dir, complete)
     return marts.fct_retail_sales_monthly(
-        trade, _fuel_monthly(spark, sf_dir), _days(spark, sf_dir), _groups(spark, sf_dir)
+        trade, _fuel_monthly(spark, sf_dir), _days(spark, sf_dir), groups
     )
 
 
-def _fact_lines(spark, sf_dir):
-    return _fact_of(_trade_lines(spark, sf_dir), spark, sf_dir)
+def _fact_lines(spark, sf_dir, complete=True):
+    return _fact_of(_trade_lines(spark, sf_dir), spark, sf_dir, complete)
+
+
+def _fact_table(spark, sf_dir):
+    """The line-grain fact as published: partitioned by year and month, bucketed by group."""
+    path = work_path(spark, "fct")
+    table = "kedai_" + path.rsplit("-", 1)[1]
+    return sinks.write_fact(_fact_lines(spark, sf_dir), table, path)
 
 
 def _measures(trade, spark, sf_dir):
@@ -119,9 +128,9 @@ def scan_landing(spark, sf_dir):
 
 @query
 def scan_landing_csv(spark, sf_dir):
-    landing = fx.as_landing(fx.trade_lines(spark, sf_dir))
+    landing = fx.as_landing(fx.awkward_lines(spark, sf_dir))
     path = work_path(spark, "landing-csv")
-    landing.write.option("header", True).csv(path)
+    landing.write.option("header", True).option("escape", '"').csv(path)
     return readers.scan_landing_csv(spark, path, landing.schema)
 
 
@@ -130,7 +139,7 @@ def scan_raw_partitioned(spark, sf_dir):
     root = _raw_root(spark)
     landing = fx.as_landing(fx.raw_iowrt(spark, sf_dir))
     sinks.write_raw(ingest.prepare(landing, IOWRT), root, IOWRT)
-    return _dated(readers.scan_raw(spark, root, IOWRT))
+    return _zoneless(readers.scan_raw(spark, root, IOWRT))
 
 
 @query
@@ -141,19 +150,52 @@ def scan_merge_schema(spark, sf_dir):
     older = F.col("ymd_date") < SCHEMA_CHANGE
     sinks.write_raw(rows.where(older).drop("volume"), root, IOWRT_3D)
     sinks.write_raw(rows.where(~older), root, IOWRT_3D)
-    return _dated(readers.scan_raw(spark, root, IOWRT_3D, merge_schema=True))
+    return _zoneless(readers.scan_raw(spark, root, IOWRT_3D, merge_schema=True))
+
+
+@query
+def scan_raw_mixed_dates(spark, sf_dir):
+    """Early periods left by another writer, with nanoseconds for dates, beside later ones."""
+    root = _raw_root(spark)
+    landing = fx.as_landing(fx.raw_fuelprice(spark, sf_dir))
+    rows = sinks.with_periods(ingest.prepare(landing, FUELPRICE), FUELPRICE)
+    early = F.col("ymd_date") < SCHEMA_CHANGE
+    other = rows.where(early).withColumn("ymd_date", fx.epoch_nanos(F.col("ymd_date")))
+    path = f"{root}/{FUELPRICE.name}"
+    (
+        other.hint("rebalance", *FUELPRICE.periods)
+        .write.partitionBy(*FUELPRICE.periods)
+        .parquet(path)
+    )
+    _rename_files(spark, path, FUELPRICE.name)
+    sinks.write_raw(rows.where(~early).drop(*FUELPRICE.periods), root, FUELPRICE)
+    return _zoneless(readers.scan_raw_mixed(spark, root, FUELPRICE))
+
+
+def _rename_files(spark, path, name):
+    """Give the files below a path names as another writer would."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = store.listFiles(folder, True)
+    found = []
+    while files.hasNext():
+        file = files.next().getPath()
+        if file.getName().startswith("part-"):
+            found.append(file)
+    for number, file in enumerate(found):
+        store.rename(file, file.suffix("").getParent().suffix(f"/{name}_{number}.parquet"))
 
 
 @query
 def seed_csv(spark, sf_dir):
     path = work_path(spark, "seed-csv")
-    fx.msic_lookup(spark, sf_dir).write.option("header", True).csv(path)
+    fx.seed_rows(spark, sf_dir).write.option("header", True).option("escape", '"').csv(path)
     return sinks.publish(readers.load_seed(spark, path), work_path(spark, "seed"))
 
 
-def _dated(df: DataFrame) -> DataFrame:
-    """Show the stored timestamp as a date: values without a zone compare plainly."""
-    return df.withColumn("ymd_date", F.col("ymd_date").cast("date"))
+def _zoneless(df: DataFrame) -> DataFrame:
+    """Show the stored timestamp without a zone, so that values compare plainly, to the microsecond."""
+    return df.withColumn("ymd_date", F.col("ymd_date").cast("timestamp").cast("timestamp_ntz"))
 
 
 # --- ingest ------------------------------------------------------------------------
@@ -167,12 +209,31 @@ def ingest_rename(spark, sf_dir):
 @query
 def ingest_parse_dates(spark, sf_dir):
     renamed = ingest.rename_columns(fx.fuel_with_text_dates(spark, sf_dir), FUELPRICE)
-    return _dated(ingest.parse_dates(renamed, FUELPRICE))
+    return _zoneless(ingest.parse_dates(renamed, FUELPRICE))
+
+
+@query
+def ingest_date_forms(spark, sf_dir):
+    """Dates as text in several forms; a time of day alone is none."""
+    landing = fx.fuel_date_forms(spark, sf_dir)
+    renamed = ingest.rename_columns(landing, FUELPRICE)
+    parsed = ingest.parse_dates(renamed.withColumn("text_date", F.col("ymd_date")), FUELPRICE)
+    return _zoneless(parsed)
+
+
+@query
+def raw_write_instants(spark, sf_dir):
+    """Instants keep their time of day and microseconds in the raw zone."""
+    root = _raw_root(spark)
+    rows = ingest.prepare(fx.event_prices(spark, sf_dir), FUELPRICE)
+    sinks.write_raw(rows, root, FUELPRICE)
+    stored = readers.scan_raw(spark, root, FUELPRICE, schema=FUELPRICE.raw_schema)
+    return _zoneless(stored.drop("diesel", "diesel_eastmsia"))
 
 
 @query
 def ingest_dropna(spark, sf_dir):
-    return _dated(ingest.prepare(fx.fuel_with_text_dates(spark, sf_dir), FUELPRICE))
+    return _zoneless(ingest.prepare(fx.fuel_with_text_dates(spark, sf_dir), FUELPRICE))
 
 
 @query
@@ -194,7 +255,7 @@ def distinct_periods(spark, sf_dir):
 @query
 def period_subset(spark, sf_dir):
     rows = ingest.prepare(fx.as_landing(fx.trade_lines(spark, sf_dir)), IOWRT_3D)
-    return _dated(ingest.period_subset(rows, IOWRT_3D, SUBSET_MONTH))
+    return _zoneless(ingest.period_subset(rows, IOWRT_3D, SUBSET_MONTH))
 
 
 @query
@@ -202,7 +263,7 @@ def raw_write_monthly(spark, sf_dir):
     root = _raw_root(spark)
     rows = ingest.prepare(fx.as_landing(fx.trade_lines(spark, sf_dir)), IOWRT_3D)
     sinks.write_raw(rows, root, IOWRT_3D)
-    return _dated(readers.scan_raw(spark, root, IOWRT_3D, schema=IOWRT_3D.raw_schema))
+    return _zoneless(readers.scan_raw(spark, root, IOWRT_3D, schema=IOWRT_3D.raw_schema))
 
 
 @query
@@ -210,7 +271,7 @@ def raw_write_daily(spark, sf_dir):
     root = _raw_root(spark)
     rows = ingest.prepare(fx.as_landing(fx.raw_fuelprice(spark, sf_dir)), FUELPRICE)
     sinks.write_raw(rows, root, FUELPRICE)
-    return _dated(readers.scan_raw(spark, root, FUELPRICE, schema=FUELPRICE.raw_schema))
+    return _zoneless(readers.scan_raw(spark, root, FUELPRICE, schema=FUELPRICE.raw_schema))
 
 
 @query
@@ -221,7 +282,7 @@ def raw_overwrite_dynamic(spark, sf_dir):
     sinks.write_raw(rows, root, IOWRT_3D)
     month = ingest.period_subset(rows, IOWRT_3D, OVERWRITTEN_MONTH)
     sinks.write_raw(month.withColumn("sales", F.col("sales") * 2), root, IOWRT_3D)
-    return _dated(readers.scan_raw(spark, root, IOWRT_3D, schema=IOWRT_3D.raw_schema))
+    return _zoneless(readers.scan_raw(spark, root, IOWRT_3D, schema=IOWRT_3D.raw_schema))
 
 
 @query
@@ -237,6 +298,18 @@ def ingest_audit(spark, sf_dir):
     return audit.drop("message")
 
 
+@query
+def ingest_audit_periods(spark, sf_dir):
+    """Rows that arrived in every period of every dataset."""
+    root = _raw_root(spark)
+    relations = {
+        IOWRT.name: fx.raw_iowrt(spark, sf_dir),
+        IOWRT_3D.name: fx.trade_lines(spark, sf_dir),
+    }
+    ingest_all(spark, {name: _land(df, name) for name, df in relations.items()}, root)
+    return written_periods(spark, root)
+
+
 @query
 def ingest_status(spark, sf_dir):
     """One dataset lacks its date column and one was not delivered; the other arrives."""
@@ -345,6 +418,13 @@ def dim_date(spark, sf_dir):
     return _days(spark, sf_dir)
 
 
+@query
+def dim_date_default(spark, sf_dir):
+    """The default calendar of a run on the day of the last event."""
+    last = fx.table(spark, sf_dir, "events").agg(F.max("ts").cast("date").alias("day")).first().day
+    return dims.dim_date(dims.date_spine(dims.spine_bounds(spark, as_of=last)))
+
+
 @query
 def dim_date_limited(spark, sf_dir):
     """A calendar a year too wide on both sides, cut to the observed dates."""
@@ -396,7 +476,7 @@ def fct_line_grain(spark, sf_dir):
 
 @query
 def fct_unknown_member(spark, sf_dir):
-    return marts.unknown_groups(_fact_lines(spark, sf_dir))
+    return marts.unknown_groups(_fact_lines(spark, sf_dir, complete=False))
 
 
 @query
@@ -404,14 +484,12 @@ def fct_since_fuel_start(spark, sf_dir):
     """Fuel prices begin where the first price of the urgent-only fuel is known."""
     fuel = _fuel(spark, sf_dir).where(F.col("diesel_eastmsia_price_rm").isNotNull())
     monthly = intermediate.int_fuelprice_monthly(fuel)
-    return marts.since_fuel_start(_fact_lines(spark, sf_dir), monthly)
+    return marts.since_fuel_start(_fact_table(spark, sf_dir), monthly)
 
 
 @query
 def fct_partitioned_readback(spark, sf_dir):
-    path = work_path(spark, "fct")
-    table = "kedai_" + path.rsplit("-", 1)[1]
-    return sinks.write_fact(_fact_lines(spark, sf_dir), table, path)
+    return _fact_table(spark, sf_dir)
 
 
 # --- quality -----------------------------------------------------------------------
@@ -473,7 +551,7 @@ def dq_relationships_date(spark, sf_dir):
 
 @query
 def dq_relationships_group(spark, sf_dir):
-    groups = _groups(spark, sf_dir)
+    groups = _groups(spark, sf_dir, complete=False)
     fact = joins.join_group(_trade_lines(spark, sf_dir), groups)
     return quality.orphan_keys(fact, "msic_group_key", groups, "msic_group_key")
 
@@ -491,6 +569,15 @@ def dq_expression_true(spark, sf_dir):
     )
 
 
+@query
+def dq_not_a_number(spark, sf_dir):
+    """Values that are not numbers fail a comparison, however large Spark takes them to be."""
+    ratio = F.when(F.col("l_discount") == 0, F.lit(float("nan"))).otherwise(F.col("l_quantity"))
+    lines = fx.table(spark, sf_dir, "lineitem").select(ratio.alias("ratio"))
+    check = quality.expression_is_true("ratio", F.col("ratio") >= 0)
+    return quality.with_status(quality.row_checks(lines, "lineitem", [check]))
+
+
 @query
 def dq_stg_iowrt_date(spark, sf_dir):
     return quality.summary(quality.headline_checks(_headline(spark, sf_dir)))
@@ -521,13 +608,14 @@ def dq_summary(spark, sf_dir):
     root = work_path(spark, "star")
     namespace = "kedai_" + root.rsplit("-", 1)[1]
     sinks.create_namespace(spark, namespace, root)
-    relations = {
-        "stg_iowrt_3d": _trade_lines(spark, sf_dir),
-        "stg_fuelprice": _fuel(spark, sf_dir),
-        "stg_msic_lookup": _lookup(spark, sf_dir),
+    raw = {
+        IOWRT.name: fx.raw_iowrt(spark, sf_dir),
+        IOWRT_3D.name: fx.trade_lines(spark, sf_dir),
+        FUELPRICE.name: fx.raw_fuelprice(spark, sf_dir),
     }
-    star = build_star(relations, fx.calendar_bounds(spark, sf_dir), namespace, root)
-    return check_star(star, _headline(spark, sf_dir))
+    relations = staging.stage(raw, fx.msic_lookup(spark, sf_dir))
+    bounds = fx.calendar_bounds(spark, sf_dir)
+    return build_star(relations, bounds, namespace, root, raw=raw).checks
 
 
 # --- analyses ----------------------------------------------------------------------
@@ -554,7 +642,7 @@ def fuel_change_weekly(spark, sf_dir):
 
 @query
 def kpi_recent_sales(spark, sf_dir):
-    return analytics.kpi_recent_sales(_measures(_trade_lines(spark, sf_dir), spark, sf_dir))
+    return analytics.kpi_recent_sales(_fact_table(spark, sf_dir))
 
 
 @query
@@ -579,7 +667,7 @@ def sales_by_group(spark, sf_dir):
 @query
 def sales_filtered(spark, sf_dir):
     return analytics.sales_filtered(
-        _fact_lines(spark, sf_dir), FILTER_FIRST, FILTER_LAST, FILTER_GROUPS
+        _fact_table(spark, sf_dir), FILTER_FIRST, FILTER_LAST, FILTER_GROUPS
     )
 
 

@@ -122,15 +122,66 @@ def fuel_with_text_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def msic_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        table(spark, sf_dir, "part")
-        .where(F.col("p_brand") != "Brand#13")
-        .select(
-            group_code().alias("group_code"),
-            F.col("p_name").alias("desc_en"),
-            F.col("p_type").alias("desc_bm"),
-        )
+def fuel_date_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order dates as text in several forms; one is a time of day without a date."""
+    day = F.col("o_orderdate")
+    forms = {
+        "1-URGENT": "yyyy/MM/dd",
+        "2-HIGH": "yyyyMMdd",
+        "3-MEDIUM": "dd MMM yyyy",
+        "4-NOT SPECIFIED": "MM/dd/yyyy",
+    }
+    text = F.lit("12:30")
+    for priority, form in forms.items():
+        text = F.when(F.col("o_orderpriority") == priority, F.date_format(day, form)).otherwise(text)
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("series_type"),
+        text.alias("date"),
+        F.col("o_totalprice").alias("ron95"),
+    )
+
+
+def event_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fuel prices delivered with a time of day down to microseconds."""
+    return table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("series_type"),
+        F.col("ts").cast("timestamp").alias("date"),
+        F.col("value").alias("ron95"),
+        F.col("event_id").cast("double").alias("ron97"),
+    )
+
+
+def msic_lookup(spark: SparkSession, sf_dir: str, complete: bool = True) -> DataFrame:
+    """The lookup; an incomplete one lacks a brand, whose codes are then unknown."""
+    parts = table(spark, sf_dir, "part")
+    if not complete:
+        parts = parts.where(F.col("p_brand") != "Brand#13")
+    return parts.select(
+        group_code().alias("group_code"),
+        F.col("p_name").alias("desc_en"),
+        F.col("p_type").alias("desc_bm"),
+    )
+
+
+def seed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lookup rows as published: quotes, commas, line breaks, empty and missing texts, more columns."""
+    quoted = F.concat("p_name", F.lit(', "'), "p_type", F.lit('", other'))
+    broken = F.when(F.col("p_size") % 5 == 0, F.concat("p_type", F.lit("\n"), "p_name")).when(
+        F.col("p_size") % 7 == 0, F.lit("")
+    )
+    return table(spark, sf_dir, "part").select(
+        F.col("p_size").cast("string").alias("digits"),
+        group_code().alias("group_code"),
+        quoted.alias("desc_en"),
+        broken.alias("desc_bm"),
+    )
+
+
+def awkward_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trade rows whose codes hold quotes, commas and line breaks, or are empty or missing."""
+    code = F.col("group_code")
+    return trade_lines(spark, sf_dir).withColumn(
+        "group_code", F.when(code == "", code).otherwise(F.concat(code, F.lit(', "a"\nb')))
     )
 
 

@@ -9,9 +9,26 @@ from pyspark.sql import types as T
 NANOS_PER_SECOND = 1_000_000_000
 NANOS_PER_MICRO = 1_000
 
-# Column types accepted as a point in time. Spark shows nanosecond timestamps in parquet
-# as longs, so a long is read as nanoseconds since the epoch.
-DATETIME_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType, T.LongType)
+# Column types accepted as a point in time. Spark shows nanosecond timestamps in parquet as
+# longs; a dataset that is delivered with such dates declares it.
+DATETIME_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
+# Longs closer to the epoch than this (116 days) are no nanoseconds, but days, seconds or the like.
+LEAST_NANOS = 10**16
+
+# Forms of dates as text, each with the pattern that reads it (None: ISO 8601).
+# A time of day alone is no date.
+DATE_FORMS = (
+    (r"\d{4}-\d{1,2}-\d{1,2}([ T].+)?", None),
+    (r"\d{4}-\d{1,2}", "yyyy-M"),
+    (r"\d{4}/\d{1,2}/\d{1,2}", "yyyy/M/d"),
+    (r"\d{4}/\d{1,2}/\d{1,2} \d{2}:\d{2}:\d{2}", "yyyy/M/d HH:mm:ss"),
+    (r"\d{8}", "yyyyMMdd"),
+    (r"\d{1,2} [A-Z][a-z]{2} \d{4}", "d MMM yyyy"),
+    (r"\d{1,2}-[A-Z][a-z]{2}-\d{4}", "d-MMM-yyyy"),
+    (r"\d{1,2} [A-Z][a-z]{3,} \d{4}", "d MMMM yyyy"),
+    (r"\d{1,2}/\d{1,2}/\d{4}", "M/d/yyyy"),
+)
 
 
 def month_start(col: Column) -> Column:
@@ -73,10 +90,21 @@ def as_date(col: Column, data_type: T.DataType) -> Column:
     return col.cast("date")
 
 
+def text_timestamp(col: Column) -> Column:
+    """A date in one of the forms of ``DATE_FORMS``; any other text becomes NULL."""
+    text = F.trim(col)
+    read = F.lit(None).cast("timestamp")
+    for form, pattern in DATE_FORMS:
+        parsed = F.try_to_timestamp(text, F.lit(pattern)) if pattern else F.try_to_timestamp(text)
+        read = F.when(text.rlike(f"^{form}$"), parsed).otherwise(read)
+    return read
+
+
 def arrival_timestamp(col: Column, data_type: T.DataType) -> Column:
-    """Reading of a delivered date column; text that is no date becomes NULL."""
+    """Reading of a delivered date column; what is no date becomes NULL."""
     if isinstance(data_type, T.StringType):
-        return F.try_to_timestamp(col)
+        return text_timestamp(col)
     if isinstance(data_type, T.IntegralType):
-        return F.timestamp_micros(_whole_units(col, NANOS_PER_MICRO))
+        nanos = F.when(F.abs(col) >= LEAST_NANOS, col)
+        return F.timestamp_micros(_whole_units(nanos, NANOS_PER_MICRO))
     return col.cast("timestamp")

@@ -15,3 +15,19 @@ def round_to(col: Column, digits: int) -> Column:
 
 def round_cents(col: Column) -> Column:
     return round_to(col, 2)
+
+
+# Prices and amounts are summed exactly with this many places after the point.
+EXACT = "decimal(28,4)"
+
+
+def exact_sum(col: Column | str) -> Column:
+    """Sum that no order of rows changes; values that are not finite count as missing."""
+    column = F.col(col) if isinstance(col, str) else col
+    return F.sum(column.try_cast(EXACT)).cast("double")
+
+
+def exact_mean(col: Column | str) -> Column:
+    """Exact sum over the number of values, so that half cents never depend on the task layout."""
+    column = F.col(col) if isinstance(col, str) else col
+    return exact_sum(column) / F.count(column.try_cast(EXACT))

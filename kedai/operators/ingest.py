@@ -6,6 +6,7 @@ import logging
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kedai.functions.dates import DATETIME_TYPES, arrival_timestamp
 from kedai.sources.datasets import DATE_COLUMN, DAILY, Dataset
@@ -35,9 +36,9 @@ def rename_columns(df: DataFrame, dataset: Dataset) -> DataFrame:
 
 def parse_dates(df: DataFrame, dataset: Dataset) -> DataFrame:
     """Lenient datasets turn unreadable dates into NULL; the others pass through."""
-    if not dataset.lenient_dates:
-        return df
     data_type = df.schema[DATE_COLUMN].dataType
+    if not dataset.lenient_dates or isinstance(data_type, T.LongType):
+        return df
     return df.withColumn(DATE_COLUMN, arrival_timestamp(F.col(DATE_COLUMN), data_type))
 
 
@@ -46,7 +47,8 @@ def require_dates(df: DataFrame, dataset: Dataset) -> DataFrame:
     if DATE_COLUMN not in df.columns:
         raise DatasetSkipped(f"{dataset.name}: no '{DATE_COLUMN}' column")
     data_type = df.schema[DATE_COLUMN].dataType
-    if not isinstance(data_type, DATETIME_TYPES):
+    accepted = DATETIME_TYPES + ((T.LongType,) if dataset.nanos_dates else ())
+    if not isinstance(data_type, accepted):
         raise DatasetSkipped(
             f"{dataset.name}: '{DATE_COLUMN}' is {data_type.simpleString()}, not a date"
         )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kedai.functions.dates import month_start
-from kedai.functions.numeric import round_cents
+from kedai.functions.numeric import exact_mean, round_cents
 
 PRICES = (
     "ron95_price_rm",
@@ -21,11 +21,11 @@ OVERALL_GROUP = "Overall"
 def int_fuelprice_monthly(fuel: DataFrame) -> DataFrame:
     """Average price per month, to cents; a month without a price keeps NULL.
 
-    Partial averages are merged per month before the shuffle, so a crowded month costs no
+    Prices are summed exactly. Partial sums are merged per month before the shuffle, so a crowded month costs no
     more than another. Unordered: sort for display with ``in_month_order``.
     """
     return fuel.groupBy(month_start(F.col("record_date")).alias("year_month_date")).agg(
-        *[round_cents(F.avg(p)).alias(f"avg_{p}") for p in PRICES]
+        *[round_cents(exact_mean(p)).alias(f"avg_{p}") for p in PRICES]
     )
 
 

@@ -32,8 +32,9 @@ def not_null(column: str, severity: str = ERROR) -> RowCheck:
 
 
 def expression_is_true(column: str, condition: Column, severity: str = ERROR) -> RowCheck:
-    """NULL results pass; ``not_null`` is the test for those."""
-    return RowCheck("expression_is_true", column, ~condition, severity)
+    """NULL results pass; ``not_null`` is the test for those. A column that is not a number fails:
+    Spark takes NaN for larger than every number."""
+    return RowCheck("expression_is_true", column, ~condition | F.isnan(column), severity)
 
 
 def row_checks(df: DataFrame, table: str, checks: list[RowCheck]) -> DataFrame:

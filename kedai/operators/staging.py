@@ -67,14 +67,19 @@ def codes_of_length(lookup: DataFrame, length: int = 3) -> DataFrame:
     return lookup.where(F.length(F.trim("msic_group_code")) == length)
 
 
-def register_staging(raw: dict[str, DataFrame], seed: DataFrame) -> dict[str, DataFrame]:
-    """All staging relations, also as temp views under their names."""
-    frames = {
+def stage(raw: dict[str, DataFrame], seed: DataFrame) -> dict[str, DataFrame]:
+    """All staging relations by name."""
+    return {
         "stg_iowrt": stg_iowrt(raw["iowrt"]),
         "stg_iowrt_3d": stg_iowrt_3d(raw["iowrt_3d"]),
         "stg_fuelprice": stg_fuelprice(raw["fuelprice"]),
         "stg_msic_lookup": stg_msic_lookup(seed),
     }
+
+
+def register_staging(raw: dict[str, DataFrame], seed: DataFrame) -> dict[str, DataFrame]:
+    """All staging relations, also as temp views under their names."""
+    frames = stage(raw, seed)
     for name, df in frames.items():
         df.createOrReplaceTempView(name)
     return frames

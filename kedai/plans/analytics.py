@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kedai.functions.dates import month_index, month_start, week_start
-from kedai.functions.numeric import round_cents, round_to
+from kedai.functions.numeric import exact_mean, exact_sum, round_cents, round_to
 from kedai.operators.intermediate import PRICES
 
 FACT_PRICES = (
@@ -39,8 +39,8 @@ def growth(trade: DataFrame, months: int) -> DataFrame:
     monthly = trade.groupBy(
         "msic_group_code", month_start(F.col("record_date")).alias("record_date")
     ).agg(
-        F.sum("sales_value_rm_mil").alias("sales_value_rm_mil"),
-        F.avg("volume_index").alias("volume_index"),
+        exact_sum("sales_value_rm_mil").alias("sales_value_rm_mil"),
+        exact_mean("volume_index").alias("volume_index"),
     )
     earlier = (
         Window.partitionBy("msic_group_code")
@@ -76,7 +76,7 @@ def fuel_change_weekly(fuel: DataFrame) -> DataFrame:
     window partition holds one row per calendar week.
     """
     weekly = fuel.groupBy(week_start(F.col("record_date")).alias("week_start")).agg(
-        *[round_cents(F.avg(p)).alias(p) for p in PRICES]
+        *[round_cents(exact_mean(p)).alias(p) for p in PRICES]
     )
     by_product = weekly.unpivot("week_start", list(PRICES), "product", "price_rm")
     before = Window.partitionBy("product").orderBy("week_start")
@@ -98,8 +98,8 @@ def kpi_recent_sales(fact: DataFrame) -> DataFrame:
     sales = F.col("sales_value_rm_mil")
     totals = recent.agg(
         F.max(F.when(is_latest, F.make_date("year", "month", F.lit(1)))).alias("latest_month"),
-        round_cents(F.sum(F.when(is_latest, sales))).alias("sales_rm_mil"),
-        round_cents(F.sum(F.when(~is_latest, sales))).alias("previous_sales_rm_mil"),
+        round_cents(exact_sum(F.when(is_latest, sales))).alias("sales_rm_mil"),
+        round_cents(exact_sum(F.when(~is_latest, sales))).alias("previous_sales_rm_mil"),
     )
     return totals.withColumn(
         "change_percent",
@@ -110,7 +110,7 @@ def kpi_recent_sales(fact: DataFrame) -> DataFrame:
 def trend_monthly(fact: DataFrame) -> DataFrame:
     """Total sales and fuel prices per month."""
     return fact.groupBy("year", "month").agg(
-        round_cents(F.sum("sales_value_rm_mil")).alias("total_sales_rm_mil"),
+        round_cents(exact_sum("sales_value_rm_mil")).alias("total_sales_rm_mil"),
         *[F.max(p).alias(p) for p in FACT_PRICES],
     )
 
@@ -129,7 +129,7 @@ def sales_by_group(fact: DataFrame, dim_group: DataFrame) -> DataFrame:
     Aggregated by key first, so only one row per group meets the dimension.
     """
     totals = fact.groupBy("msic_group_key").agg(
-        round_cents(F.sum("sales_value_rm_mil")).alias("total_sales_rm_mil"),
+        round_cents(exact_sum("sales_value_rm_mil")).alias("total_sales_rm_mil"),
         F.countDistinct("year", "month").alias("n_months"),
     )
     labels = dim_group.select("msic_group_key", "msic_group_code", "group_desc_en")
@@ -168,8 +168,8 @@ def corr_by_group(fact: DataFrame) -> DataFrame:
 
 def seasonality(fact: DataFrame) -> DataFrame:
     """Average monthly total per month of the year."""
-    totals = fact.groupBy("year", "month").agg(F.sum("sales_value_rm_mil").alias("total"))
+    totals = fact.groupBy("year", "month").agg(exact_sum("sales_value_rm_mil").alias("total"))
     return totals.groupBy("month").agg(
-        round_cents(F.avg("total")).alias("avg_sales_rm_mil"),
+        round_cents(exact_mean("total")).alias("avg_sales_rm_mil"),
         F.count("*").alias("n_years"),
     )

@@ -17,10 +17,12 @@ from kedai.operators.dimensions import (
     spine_bounds,
 )
 from kedai.operators.intermediate import int_fuelprice_monthly
-from kedai.operators.quality import headline_checks, star_checks, summary
+from kedai.operators.quality import accepted_values, headline_checks, star_checks, summary
 from kedai.operators.staging import register_staging
 from kedai.plans.ingest_job import ingest
 from kedai.plans.marts import fct_retail_sales_monthly
+from kedai.session import prepare, remove_path
+from kedai.sources.datasets import DATASETS
 from kedai.sources.readers import load_seed, register_sources
 from kedai.sources.sinks import create_namespace, publish_table, write_fact
 
@@ -31,12 +33,19 @@ class ChecksFailed(Exception):
 
 @dataclass(frozen=True)
 class Star:
-    """The published tables."""
+    """The published tables, and the results of their tests (one row per test)."""
 
     fuel_monthly: DataFrame
     dim_date: DataFrame
     dim_group: DataFrame
     fact: DataFrame
+    checks: DataFrame
+
+
+TABLES = ("int_fuelprice_monthly", "dim_date", "dim_msic_group", "fct_retail_sales_monthly")
+
+# Versions of the star that stay readable, the current one included.
+KEPT_VERSIONS = 2
 
 
 def _table(namespace: str | None, name: str) -> str:
@@ -47,31 +56,82 @@ def _path(root: str | None, name: str) -> str | None:
     return f"{root.rstrip('/')}/{name}" if root else None
 
 
+def _version_of(name: str, version: str) -> str:
+    return f"{name}__{version}"
+
+
 def build_star(
     staging: Mapping[str, DataFrame],
     bounds: DataFrame,
     namespace: str | None = None,
     root: str | None = None,
     gate: bool = False,
+    raw: Mapping[str, DataFrame] | None = None,
 ) -> Star:
-    """Publish the intermediate table, both dimensions and then the fact.
+    """Write a new version of all four tables, test what was written, then show it.
 
-    The fact reads the published tables, so the sizes that decide its joins are sizes on
-    disk. With ``gate`` the tests run on the fact plan before the fact is replaced.
+    Each table is written beside the versions before under a name of its own; the plain names are
+    views, turned to the new version when all tables are complete and, with ``gate``, no test fails
+    at severity error. Until then, and after any failure, readers find the old version. The fact
+    reads the written tables, so the sizes that decide its joins are sizes on disk, and the trade
+    source is scanned once.
     """
-
-    def put(df: DataFrame, name: str) -> DataFrame:
-        return publish_table(df, _table(namespace, name), _path(root, name))
-
-    fuel = put(int_fuelprice_monthly(staging["stg_fuelprice"]), "int_fuelprice_monthly")
-    days = put(dim_date(date_spine(bounds)), "dim_date")
-    groups = put(dim_msic_group(staging["stg_msic_lookup"]), "dim_msic_group")
-    fact = fct_retail_sales_monthly(staging["stg_iowrt_3d"], fuel, days, groups)
-    if gate:
-        require_passing(summary(star_checks(fact, days, groups)))
-    name = "fct_retail_sales_monthly"
-    published = write_fact(fact, _table(namespace, name), _path(root, name))
-    return Star(fuel, days, groups, published)
+    spark = bounds.sparkSession
+    version = f"v{dt.datetime.now(dt.UTC):%Y%m%d%H%M%S%f}"
+
+    def place(name: str) -> tuple[str, str | None]:
+        staged = _version_of(name, version)
+        return _table(namespace, staged), _path(root, staged)
+
+    try:
+        fuel = publish_table(int_fuelprice_monthly(staging["stg_fuelprice"]), *place(TABLES[0]))
+        days = publish_table(dim_date(date_spine(bounds)), *place(TABLES[1]))
+        groups = publish_table(dim_msic_group(staging["stg_msic_lookup"]), *place(TABLES[2]))
+        plan = fct_retail_sales_monthly(staging["stg_iowrt_3d"], fuel, days, groups)
+        fact = write_fact(plan, *place(TABLES[3]))
+        tests = star_checks(fact, days, groups)
+        if "stg_iowrt" in staging:
+            tests += headline_checks(staging["stg_iowrt"])
+        for name, df in (raw or {}).items():
+            accepted = DATASETS[name].accepted.items()
+            tests += [accepted_values(df, name, column, values) for column, values in accepted]
+        results = summary(tests)
+        checks = spark.createDataFrame(results.collect(), results.schema)  # one row per test
+        if gate:
+            require_passing(checks)
+    except Exception:
+        drop_version(spark, version, namespace, root)
+        raise
+    for name in TABLES:
+        _show(spark, _table(namespace, name), place(name)[0])
+    for old in versions(spark, namespace)[:-KEPT_VERSIONS]:
+        drop_version(spark, old, namespace, root)
+    return Star(fuel, days, groups, fact, checks)
+
+
+def _show(spark: SparkSession, name: str, table: str) -> None:
+    """Turn a plain name to a table; a table that holds the name is kept under another one."""
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}__before")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table}")
+
+
+def versions(spark: SparkSession, namespace: str | None = None) -> list[str]:
+    """Complete and incomplete versions of the star, oldest first."""
+    prefix = f"{TABLES[0]}__v"
+    names = [t.name for t in spark.catalog.listTables(namespace or spark.catalog.currentDatabase())]
+    return sorted("v" + name.removeprefix(prefix) for name in names if name.startswith(prefix))
+
+
+def drop_version(
+    spark: SparkSession, version: str, namespace: str | None = None, root: str | None = None
+) -> None:
+    """Remove the tables of one version with their files."""
+    for name in TABLES:
+        staged = _version_of(name, version)
+        spark.sql(f"DROP TABLE IF EXISTS {_table(namespace, staged)}")
+        if root:
+            remove_path(spark, _path(root, staged))
 
 
 def require_passing(checks: DataFrame) -> None:
@@ -81,11 +141,6 @@ def require_passing(checks: DataFrame) -> None:
         raise ChecksFailed(", ".join(f"{r.test} {r.table_name}.{r.column_name}" for r in failed))
 
 
-def check_star(star: Star, headline: DataFrame) -> DataFrame:
-    results = star_checks(star.fact, star.dim_date, star.dim_group) + headline_checks(headline)
-    return summary(results)
-
-
 def run_daily(
     spark: SparkSession,
     landing: Mapping[str, str],
@@ -99,9 +154,10 @@ def run_daily(
 ) -> tuple[DataFrame, Star, DataFrame]:
     """Audit of the ingest, the published star and the test results.
 
-    The steps run in order on one driver, so the build never reads a raw zone that is
-    still being written.
+    The steps run in order on one driver, so the build never reads a raw zone that is still being
+    written. A dataset that never arrived is an empty relation; what needs it is empty too.
     """
+    prepare(spark)
     if namespace:
         create_namespace(spark, namespace, root)
     audit = ingest(spark, landing, raw_root)
@@ -109,7 +165,8 @@ def run_daily(
     seed = publish_table(
         load_seed(spark, seed_path), _table(namespace, seed_name), _path(root, seed_name)
     )
-    staging = register_staging(register_sources(spark, raw_root), seed)
+    raw = register_sources(spark, raw_root)
+    staging = register_staging(raw, seed)
     bounds = spine_bounds(spark, start=start, as_of=as_of)
-    star = build_star(staging, bounds, namespace, root, gate)
-    return audit, star, check_star(star, staging["stg_iowrt"])
+    star = build_star(staging, bounds, namespace, root, gate, raw)
+    return audit, star, star.checks

@@ -5,12 +5,15 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from kedai.operators.ingest import DatasetSkipped, prepare, sample_dates
-from kedai.sources.datasets import DATASETS
-from kedai.sources.readers import scan_landing
+from kedai.session import prepare as prepare_session
+from kedai.sources.datasets import DATASETS, Dataset
+from kedai.sources.readers import scan_landing, scan_raw_mixed
 from kedai.sources.sinks import write_raw
 
 logger = logging.getLogger(__name__)
@@ -28,37 +31,70 @@ FAILED = "failed"
 def ingest_dataset(spark: SparkSession, name: str, path: str, raw_root: str) -> tuple:
     """One audit row.
 
-    Both counts are cheap next to the write: the rows read come from parquet footers, the
-    rows with a date need that column only. New files take their place when the whole
-    write has succeeded, so the dated rows are either all written or all failed.
+    Rows are counted while the one write runs: those read, and those with a date on their way to
+    the files. After a failed write the rows are counted again, as far as the delivery can be read.
     """
     dataset = DATASETS[name]
-    read = dated = 0
+    seen, dated = Observation(), Observation()
+    landing = None
     try:
         landing = scan_landing(spark, path)
-        read = landing.count()
-        rows = prepare(landing, dataset)
-        dated = rows.count()
+        rows = prepare(landing.observe(seen, F.count(F.lit(1)).alias("n")), dataset)
         if logger.isEnabledFor(logging.DEBUG):
-            logger.debug("%s: dates like %s", name, sample_dates(rows).collect())
-        write_raw(rows, raw_root, dataset)
+            logger.debug("%s: dates like %s", name, sample_dates(prepare(landing, dataset)).collect())
+        write_raw(rows.observe(dated, F.count(F.lit(1)).alias("n")), raw_root, dataset)
     except DatasetSkipped as reason:
         logger.warning("%s", reason)
-        return name, SKIPPED, read, 0, 0, 0, str(reason)
+        return name, SKIPPED, landing.count(), 0, 0, 0, str(reason)
     except Exception as error:  # noqa: BLE001 - one dataset must not stop the others
         logger.error("%s: %s", name, error)
         reason = f"{type(error).__name__}: {error}".splitlines()[0]
-        return name, FAILED, read, 0, dated, read - dated if dated else 0, reason
-    return name, WRITTEN, read, dated, 0, read - dated, None
+        return name, FAILED, *_failed_counts(landing, dataset), reason
+    read, written = _observed(seen, landing), _observed(dated, rows)
+    return name, WRITTEN, read, written, 0, read - written, None
+
+
+def _observed(counter: Observation, df: DataFrame) -> int:
+    """What a counter saw during the write. Spark removes it from a plan that turns out to be empty;
+    the rows are counted apart then."""
+    try:
+        return counter.get["n"]
+    except Exception:  # noqa: BLE001 - no metrics arrived
+        return df.count()
+
+
+def _failed_counts(landing: DataFrame | None, dataset: Dataset) -> tuple[int, int, int, int]:
+    """Rows read, written, failed and dropped of a delivery whose write failed."""
+    try:
+        read, dated = landing.count(), prepare(landing, dataset).count()
+    except Exception:  # noqa: BLE001 - the delivery itself can't be read
+        return 0, 0, 0, 0
+    return read, 0, dated, read - dated
+
+
+def written_periods(spark: SparkSession, raw_root: str) -> DataFrame:
+    """Rows of every period of every dataset, counted without reading a data column."""
+    counts = []
+    for name, dataset in DATASETS.items():
+        rows = scan_raw_mixed(spark, raw_root, dataset)
+        period = F.concat_ws("-", *dataset.periods).alias("period")
+        counted = rows.groupBy(period).agg(F.count("*").alias("n_rows"))
+        counts.append(counted.select(F.lit(name).alias("dataset"), "period", "n_rows"))
+    return reduce(DataFrame.unionByName, counts)
 
 
 def ingest(spark: SparkSession, landing: Mapping[str, str], raw_root: str) -> DataFrame:
     """Ingest the given datasets (name -> landing path); returns the audit relation.
 
+    A period is replaced when its files are moved in place, one period after the other, so a failure
+    in the middle of that leaves some periods new and others old; a second run mends it.
+
     The datasets share no files, so their jobs run side by side: one can use the cluster
     while another moves its finished files in place.
     """
 
+    prepare_session(spark)
+
     def run(item: tuple[str, str]) -> tuple:
         return ingest_dataset(spark, *item, raw_root)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kedai.functions.dates import month_index
 from kedai.functions.keys import UNKNOWN_MEMBER
 from kedai.operators.joins import join_date, join_fuel_month, join_group
 
@@ -47,9 +48,13 @@ def _fact_rows(priced: DataFrame, keys: tuple[str, ...]) -> DataFrame:
 
 
 def since_fuel_start(fact: DataFrame, fuel_monthly: DataFrame) -> DataFrame:
-    """Optional: leave out trade from before the first month with fuel prices."""
+    """Optional: leave out trade from before the first month with fuel prices.
+
+    The first month also limits the partition columns, so earlier months are not listed for reading.
+    """
     first = fuel_monthly.agg(F.min("year_month_date")).scalar()
-    return fact.where(F.col("record_date") >= first)
+    month = fuel_monthly.agg(F.min(month_index(F.col("year_month_date")))).scalar()
+    return fact.where((F.col("year") * 12 + F.col("month") >= month) & (F.col("record_date") >= first))
 
 
 def unknown_groups(fact: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ class Dataset:
     series: str = "series"  # the column staging filters on
     periods: tuple[str, ...] = MONTHLY
     lenient_dates: bool = False
+    nanos_dates: bool = False  # dates may come as nanoseconds since the epoch
     accepted: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
     @property
@@ -69,6 +70,7 @@ FUELPRICE = Dataset(
     series="series_type",
     periods=DAILY,
     lenient_dates=True,
+    nanos_dates=True,
     accepted={"series_type": ("level", "change_weekly")},
 )
 

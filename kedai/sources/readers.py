@@ -4,27 +4,50 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kedai.sources.datasets import DATASETS, SEED_COLUMNS, Dataset
+from kedai.functions.dates import as_timestamp
+from kedai.sources.datasets import DATASETS, DATE_COLUMN, SEED_COLUMNS, Dataset
 
 # Width of the zero-padded period directories (fixed values).
 PERIOD_WIDTH = {"year": 4, "month": 2, "day": 2}
 
+# Names of the files that Spark writes, and all others.
+OWN_FILES = "part-*"
+OTHER_FILES = "{[!p]*,p[!a]*,pa[!r]*,par[!t]*,part[!-]*}"
+
 
 def scan_landing(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """Parquet as delivered. Without ``schema`` one footer decides the columns."""
-    reader = spark.read.schema(schema) if schema else spark.read
+    """Parquet as delivered. Without ``schema`` the columns are those of all its files."""
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
     return reader.parquet(path)
 
 
-def scan_landing_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The CSV edition of a dataset, read with given types (no inference pass)."""
-    return spark.read.option("header", True).option("enforceSchema", False).schema(schema).csv(path)
+def _csv_reader(spark: SparkSession, multi_line: bool):
+    """Quotes are doubled inside quoted fields, which may hold line breaks. A quoted empty field is
+    an empty text, an unquoted one is missing: no field can equal the marker for missing ones."""
+    return (
+        spark.read.option("header", True)
+        .option("escape", '"')
+        .option("multiLine", multi_line)
+        .option("nullValue", "\u0000")
+        .option("emptyValue", "")
+    )
+
+
+def scan_landing_csv(
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True
+) -> DataFrame:
+    """The CSV edition of a dataset, read with given types (no inference pass).
+
+    Where no field holds a line break, ``multi_line=False`` lets Spark split large files.
+    """
+    return _csv_reader(spark, multi_line).option("enforceSchema", False).schema(schema).csv(path)
 
 
 def scan_raw(
@@ -57,26 +80,56 @@ def scan_raw(
     return df.withColumns(padded | absent)
 
 
-def load_seed(
-    spark: SparkSession, path: str, columns: tuple[str, ...] = SEED_COLUMNS
-) -> DataFrame:
-    """A CSV lookup with every column kept as text, so codes keep their leading zeros.
+def scan_raw_mixed(spark: SparkSession, root: str, dataset: Dataset) -> DataFrame:
+    """The raw zone of one dataset, whoever wrote its files.
 
-    Columns are found by header name; further columns in the file are not read.
+    Files of this library are told by their names and read with the declared schema, without their
+    footers. Other files, whose dates may be nanoseconds, are read apart with the columns of all of
+    them. Dates become timestamps; columns are united by name; columns that no file has are NULL. A
+    dataset that never arrived is an empty relation.
     """
-    return spark.read.option("header", True).option("inferSchema", False).csv(path).select(*columns)
+    path = os.path.join(root, dataset.name)
+
+    def files(glob: str):
+        return spark.read.option("basePath", path).option("pathGlobFilter", glob)
+
+    try:
+        own = files(OWN_FILES).schema(dataset.raw_schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], dataset.raw_schema)
+    try:
+        other = files(OTHER_FILES).option("mergeSchema", True).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return own
+    date = as_timestamp(F.col(DATE_COLUMN), other.schema[DATE_COLUMN].dataType)
+    padded = {p: F.lpad(F.col(p).cast("string"), PERIOD_WIDTH[p], "0") for p in dataset.periods}
+    return own.unionByName(
+        other.withColumns({DATE_COLUMN: date} | padded), allowMissingColumns=True
+    )
+
+
+def load_seed(spark: SparkSession, path: str) -> DataFrame:
+    """A CSV lookup with all its columns kept as text, so codes keep their leading zeros.
+
+    The columns that staging needs must be among them.
+    """
+    seed = _csv_reader(spark, multi_line=True).option("inferSchema", False).csv(path)
+    missing = set(SEED_COLUMNS) - set(seed.columns)
+    if missing:
+        raise ValueError(f"no column {', '.join(sorted(missing))} in {path}")
+    return seed
 
 
 def register_sources(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """All raw datasets below ``root``, also as temp views under their names.
 
-    Schemas are merged over all files, so types are those delivered and a column that
-    came later is not missed.
+    Footers are only read of files that other writers left; a dataset without files is empty.
     """
-    frames = {
-        name: scan_raw(spark, root, dataset, merge_schema=True)
-        for name, dataset in DATASETS.items()
-    }
+    frames = {name: scan_raw_mixed(spark, root, dataset) for name, dataset in DATASETS.items()}
     for name, df in frames.items():
         df.createOrReplaceTempView(name)
     return frames

@@ -105,5 +105,6 @@ def write_fact(
 
 def create_namespace(spark: SparkSession, name: str, root: str | None = None) -> None:
     """A database for published tables, kept where they are."""
-    location = f" LOCATION '{root}'" if root else ""
+    quoted = root.replace("\\", "\\\\").replace("'", "\\'") if root else None
+    location = f" LOCATION '{quoted}'" if quoted else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{location}")

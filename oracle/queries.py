@@ -6,6 +6,7 @@ from oracle.relations import calendar
 
 _PADDED = "strftime(ymd_date, '%Y') AS year, strftime(ymd_date, '%m') AS month"
 _TRADE = "series, ymd_date, group_code, sales, volume"
+_STORED = "series, CAST(ymd_date AS TIMESTAMP) AS ymd_date, group_code, sales, volume"
 
 
 def _growth(months: int) -> str:
@@ -64,9 +65,9 @@ def _nonnegative(column: str, relation: str) -> str:
     )
 
 
-def _orphans(column: str, parent: str) -> str:
+def _orphans(column: str, parent: str, fact: str = "fact_lines") -> str:
     return f"""
-        SELECT {column}, count(*) AS n_rows FROM fact_lines
+        SELECT {column}, count(*) AS n_rows FROM {fact}
         WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {column} FROM {parent})
         GROUP BY 1
     """
@@ -125,6 +126,12 @@ _HEADLINE_CHECKS = [
 
 _THREE_SERIES = "'abs', 'growth_yoy', 'growth_mom'"
 
+_ACCEPTED = [
+    _accepted("raw_iowrt", "iowrt", "series", _THREE_SERIES),
+    _accepted("trade_lines", "iowrt_3d", "series", _THREE_SERIES),
+    _accepted("raw_fuelprice", "fuelprice", "series_type", "'level', 'change_weekly'"),
+]
+
 _TREND = """
     SELECT year, month,
            round(sum(sales_value_rm_mil) * 100) / 100 AS total_sales_rm_mil,
@@ -145,25 +152,46 @@ QUERIES: dict[str, str] = {
         SELECT series, ymd_date AS date, group_code AS "group", sales, volume
         FROM trade_lines
     """,
-    # text files cannot tell an empty code from a missing one
     "scan_landing_csv": """
-        SELECT series, ymd_date AS date, NULLIF(group_code, '') AS "group", sales, volume
-        FROM trade_lines
+        SELECT series, ymd_date AS date, group_code AS "group", sales, volume
+        FROM awkward_lines
     """,
     "scan_raw_partitioned": f"""
-        SELECT series, ymd_date, sales, volume, volume_sa, {_PADDED} FROM raw_iowrt
+        SELECT series, CAST(ymd_date AS TIMESTAMP) AS ymd_date, sales, volume, volume_sa, {_PADDED}
+        FROM raw_iowrt
+    """,
+    "scan_raw_mixed_dates": """
+        SELECT series_type, o.day AS ymd_date, ron95, ron97, diesel,
+               diesel_eastmsia, strftime(o.day, '%Y') AS year, strftime(o.day, '%m') AS month,
+               strftime(o.day, '%d') AS day
+        FROM (SELECT *, make_timestamp(ymd_date // 1000) AS day FROM raw_fuelprice) o
     """,
     "scan_merge_schema": f"""
-        SELECT series, ymd_date, group_code, sales,
+        SELECT series, CAST(ymd_date AS TIMESTAMP) AS ymd_date, group_code, sales,
                CASE WHEN ymd_date >= DATE '1998-01-01' THEN volume END AS volume, {_PADDED}
         FROM trade_lines
     """,
-    "seed_csv": """
-        SELECT NULLIF(group_code, '') AS group_code, desc_en, desc_bm FROM msic_lookup
-    """,
+    "seed_csv": "SELECT * FROM seed_rows",
     # ingest
     "ingest_rename": f"SELECT {_TRADE} FROM trade_lines",
     "ingest_parse_dates": "SELECT * FROM fuel_parsed",
+    "ingest_date_forms": """
+        SELECT o_orderpriority AS series_type, text_date, o_totalprice AS ron95,
+               CASE WHEN o_orderpriority <> '5-LOW' THEN date_trunc('day', o_orderdate) END AS ymd_date
+        FROM (SELECT * REPLACE (CAST(o_orderdate AS TIMESTAMP) AS o_orderdate) FROM fuel_forms)
+    """,
+    "raw_write_instants": """
+        SELECT event_type AS series_type, ts AS ymd_date, value AS ron95,
+               CAST(event_id AS DOUBLE) AS ron97, strftime(ts, '%Y') AS year,
+               strftime(ts, '%m') AS month, strftime(ts, '%d') AS day
+        FROM events
+    """,
+    "ingest_audit_periods": """
+        SELECT 'iowrt' AS dataset, strftime(ymd_date, '%Y-%m') AS period, count(*) AS n_rows
+        FROM raw_iowrt GROUP BY 2
+        UNION ALL
+        SELECT 'iowrt_3d', strftime(ymd_date, '%Y-%m'), count(*) FROM trade_lines GROUP BY 2
+    """,
     "ingest_dropna": "SELECT * FROM fuel_parsed WHERE ymd_date IS NOT NULL",
     "distinct_periods": """
         SELECT DISTINCT 'iowrt' AS dataset, ymd_date AS period FROM raw_iowrt
@@ -173,18 +201,18 @@ QUERIES: dict[str, str] = {
         SELECT DISTINCT 'fuelprice', CAST(o_orderdate AS DATE) FROM orders
     """,
     "period_subset": f"""
-        SELECT {_TRADE} FROM trade_lines
+        SELECT {_STORED} FROM trade_lines
         WHERE date_trunc('month', ymd_date) = DATE '1998-07-01'
     """,
-    "raw_write_monthly": f"SELECT {_TRADE}, {_PADDED} FROM trade_lines",
+    "raw_write_monthly": f"SELECT {_STORED}, {_PADDED} FROM trade_lines",
     "raw_write_daily": """
-        SELECT series_type, CAST(o.day AS DATE) AS ymd_date, ron95, ron97, diesel,
+        SELECT series_type, o.day AS ymd_date, ron95, ron97, diesel,
                diesel_eastmsia, strftime(o.day, '%Y') AS year, strftime(o.day, '%m') AS month,
                strftime(o.day, '%d') AS day
         FROM (SELECT *, make_timestamp(ymd_date // 1000) AS day FROM raw_fuelprice) o
     """,
     "raw_overwrite_dynamic": f"""
-        SELECT series, ymd_date, group_code,
+        SELECT series, CAST(ymd_date AS TIMESTAMP) AS ymd_date, group_code,
                CASE WHEN ymd_date = DATE '1997-03-01' THEN sales * 2 ELSE sales END AS sales,
                volume, {_PADDED}
         FROM trade_lines
@@ -241,6 +269,12 @@ QUERIES: dict[str, str] = {
     "int_trade_unioned": "SELECT * FROM trade_unioned",
     "date_ranges": "SELECT * FROM ranges",
     "dim_date": "SELECT * FROM dim_date",
+    "dim_date_default": calendar("""(
+        SELECT CAST(unnest(generate_series(DATE '2017-01-01',
+            CAST(CAST(max(ts) AS DATE) + INTERVAL 1 MONTH AS DATE) - 1, INTERVAL 1 DAY)) AS DATE)
+            AS full_date
+        FROM events)
+    """),
     "dim_date_limited": calendar("""(
         SELECT full_date FROM (
             SELECT CAST(unnest(generate_series(
@@ -272,7 +306,7 @@ QUERIES: dict[str, str] = {
     """,
     "fct_retail_sales_monthly": "SELECT * FROM fact",
     "fct_line_grain": "SELECT * FROM fact_lines",
-    "fct_unknown_member": "SELECT * FROM fact_lines WHERE msic_group_key = 'UNKNOWN'",
+    "fct_unknown_member": "SELECT * FROM fact_incomplete WHERE msic_group_key = 'UNKNOWN'",
     "fct_since_fuel_start": """
         SELECT * FROM fact_lines
         WHERE record_date >= (
@@ -302,7 +336,7 @@ QUERIES: dict[str, str] = {
         ],
     ),
     "dq_relationships_date": _orphans("date_key", "dim_date"),
-    "dq_relationships_group": _orphans("msic_group_key", "dim_msic_group"),
+    "dq_relationships_group": _orphans("msic_group_key", "incomplete_groups", "fact_incomplete"),
     "dq_expression_true": _status(
         *_FACT_EXPRESSIONS,
         _count(
@@ -314,11 +348,12 @@ QUERIES: dict[str, str] = {
             "NOT (volume_index >= 10)",
         ),
     ),
+    "dq_not_a_number": _status(
+        _count("expression_is_true", "lineitem", "ratio", "error", "lineitem", "l_discount = 0")
+    ),
     "dq_stg_iowrt_date": _status(*_HEADLINE_CHECKS),
     "dq_accepted_values": _status(
-        _accepted("raw_iowrt", "iowrt", "series", _THREE_SERIES),
-        _accepted("trade_lines", "iowrt_3d", "series", _THREE_SERIES),
-        _accepted("raw_fuelprice", "fuelprice", "series_type", "'level', 'change_weekly'"),
+        *_ACCEPTED,
         _accepted("trade_lines", "short_list", "series", "'abs'", "warn"),
     ),
     "dq_summary": _status(
@@ -332,6 +367,7 @@ QUERIES: dict[str, str] = {
         _orphan_rows("date_key", "dim_date"),
         _orphan_rows("msic_group_key", "dim_msic_group"),
         *_HEADLINE_CHECKS,
+        *_ACCEPTED,
     ),
     # analyses
     "growth_mom": _growth(1),
@@ -342,7 +378,7 @@ QUERIES: dict[str, str] = {
                      * 100) / 100 AS change_rm
         FROM (
             SELECT CAST(date_trunc('week', record_date) AS DATE) AS week_start, product,
-                   round(avg(price) * 100) / 100 AS price_rm
+                   round(CAST(SUM(CAST(price AS DECIMAL(28,4))) AS DOUBLE) / count(price) * 100) / 100 AS price_rm
             FROM (
                 SELECT record_date, 'ron95_price_rm' AS product, ron95_price_rm AS price
                 FROM stg_fuelprice
@@ -397,8 +433,8 @@ QUERIES: dict[str, str] = {
     "corr_sales_fuel": f"SELECT {_CORRELATIONS} FROM fact",
     "corr_by_group": f"SELECT msic_group_code, {_CORRELATIONS} FROM fact GROUP BY 1",
     "seasonality": """
-        SELECT month, round(avg(total) * 100) / 100 AS avg_sales_rm_mil, count(*) AS n_years
-        FROM (SELECT year, month, sum(sales_value_rm_mil) AS total
+        SELECT month, round(CAST(SUM(CAST(total AS DECIMAL(28,4))) AS DOUBLE) / count(total) * 100) / 100 AS avg_sales_rm_mil, count(*) AS n_years
+        FROM (SELECT year, month, CAST(sum(CAST(sales_value_rm_mil AS DECIMAL(28,4))) AS DOUBLE) AS total
               FROM fact_lines GROUP BY 1, 2)
         GROUP BY 1
     """,

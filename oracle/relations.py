@@ -107,13 +107,42 @@ RELATIONS: dict[str, str] = {
         FROM orders
     """,
     "fuel_parsed": """
-        SELECT series_type, CAST(TRY_CAST(text_date AS TIMESTAMP) AS DATE) AS ymd_date,
+        SELECT series_type, TRY_CAST(text_date AS TIMESTAMP) AS ymd_date,
                ron95, ron97, diesel, diesel_eastmsia
         FROM fuel_text
     """,
+    "fuel_forms": """
+        SELECT *, CASE o_orderpriority
+                      WHEN '1-URGENT' THEN strftime(o_orderdate, '%Y/%m/%d')
+                      WHEN '2-HIGH' THEN strftime(o_orderdate, '%Y%m%d')
+                      WHEN '3-MEDIUM' THEN strftime(o_orderdate, '%d %b %Y')
+                      WHEN '4-NOT SPECIFIED' THEN strftime(o_orderdate, '%m/%d/%Y')
+                      ELSE '12:30' END AS text_date
+        FROM orders
+    """,
     "msic_lookup": f"""
-        SELECT {_CODE} AS group_code, p_name AS desc_en, p_type AS desc_bm
-        FROM part WHERE p_brand <> 'Brand#13'
+        SELECT {_CODE} AS group_code, p_name AS desc_en, p_type AS desc_bm FROM part
+    """,
+    "incomplete_groups": f"""
+        SELECT DISTINCT {_CODE} AS msic_group_code, md5({_CODE}) AS msic_group_key
+        FROM part WHERE p_brand <> 'Brand#13' AND {_CODE} <> ''
+    """,
+    "fact_incomplete": """
+        SELECT f.* REPLACE (COALESCE(g.msic_group_key, 'UNKNOWN') AS msic_group_key)
+        FROM fact_lines f LEFT JOIN incomplete_groups g
+            ON f.msic_group_code = g.msic_group_code
+    """,
+    "awkward_lines": """
+        SELECT * REPLACE (CASE WHEN group_code = '' THEN '' ELSE
+            group_code || ', "a"' || chr(10) || 'b' END AS group_code)
+        FROM trade_lines
+    """,
+    "seed_rows": f"""
+        SELECT CAST(p_size AS VARCHAR) AS digits, {_CODE} AS group_code,
+               p_name || ', "' || p_type || '", other' AS desc_en,
+               CASE WHEN p_size % 5 = 0 THEN p_type || chr(10) || p_name
+                    WHEN p_size % 7 = 0 THEN '' END AS desc_bm
+        FROM part
     """,
     "stg_iowrt": """
         SELECT ymd_date AS record_date, sales AS sales_value_rm_mil, volume AS volume_index,
@@ -136,11 +165,11 @@ RELATIONS: dict[str, str] = {
     """,
     "int_fuelprice_monthly": """
         SELECT CAST(date_trunc('month', record_date) AS DATE) AS year_month_date,
-               round(avg(ron95_price_rm) * 100) / 100 AS avg_ron95_price_rm,
-               round(avg(ron97_price_rm) * 100) / 100 AS avg_ron97_price_rm,
-               round(avg(diesel_peninsular_price_rm) * 100) / 100
+               round(CAST(SUM(CAST(ron95_price_rm AS DECIMAL(28,4))) AS DOUBLE) / count(ron95_price_rm) * 100) / 100 AS avg_ron95_price_rm,
+               round(CAST(SUM(CAST(ron97_price_rm AS DECIMAL(28,4))) AS DOUBLE) / count(ron97_price_rm) * 100) / 100 AS avg_ron97_price_rm,
+               round(CAST(SUM(CAST(diesel_peninsular_price_rm AS DECIMAL(28,4))) AS DOUBLE) / count(diesel_peninsular_price_rm) * 100) / 100
                    AS avg_diesel_peninsular_price_rm,
-               round(avg(diesel_eastmsia_price_rm) * 100) / 100
+               round(CAST(SUM(CAST(diesel_eastmsia_price_rm AS DECIMAL(28,4))) AS DOUBLE) / count(diesel_eastmsia_price_rm) * 100) / 100
                    AS avg_diesel_eastmsia_price_rm
         FROM stg_fuelprice GROUP BY 1
     """,

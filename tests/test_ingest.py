@@ -194,9 +194,9 @@ def test_seed_keeps_leading_zeros_and_finds_columns_by_name(spark, tmp_path):
         "digits,desc_en,group_code,desc_bm\n3,Growing of crops,011,Tanaman\n3,\"Sale, retail\",471,Runcit\n"
     )
     rows = readers.load_seed(spark, str(path)).orderBy("group_code").collect()
-    assert [tuple(r) for r in rows] == [
-        ("011", "Growing of crops", "Tanaman"),
-        ("471", "Sale, retail", "Runcit"),
+    assert [(r.digits, r.group_code, r.desc_en, r.desc_bm) for r in rows] == [
+        ("3", "011", "Growing of crops", "Tanaman"),
+        ("3", "471", "Sale, retail", "Runcit"),
     ]
 
 
@@ -228,3 +228,75 @@ def test_older_files_without_a_column_read_as_null(spark, tmp_path):
         readers.scan_raw(spark, str(tmp_path), IOWRT_3D, merge_schema=True),
     ):
         assert [r.volume for r in df.orderBy("ymd_date").collect()] == [None, 5.0]
+
+
+def test_mixed_writers_in_one_raw_zone(spark, tmp_path):
+    folder = tmp_path / "fuelprice" / "year=2017" / "month=03" / "day=15"
+    folder.mkdir(parents=True)
+    rows = {"series_type": ["level"], "ymd_date": pa.array([1489536000000000000], pa.timestamp("ns"))}
+    rows |= {c: [2.0] for c in ("ron95", "ron97", "diesel")}
+    pq.write_table(pa.table(rows), folder / "fuelprice_2017-03-15.parquet", version="2.6")
+    sinks.write_raw(ingest.prepare(fuel(spark, ["2017-03-22"]), FUELPRICE), str(tmp_path), FUELPRICE)
+    staged = stg_fuelprice(readers.scan_raw_mixed(spark, str(tmp_path), FUELPRICE))
+    assert sorted(r.record_date.day for r in staged.collect()) == [15, 22]
+    assert readers.scan_raw_mixed(spark, str(tmp_path), IOWRT).isEmpty()
+
+
+def test_longs_are_dates_only_where_declared(spark):
+    with pytest.raises(ingest.DatasetSkipped, match="bigint"):
+        ingest.prepare(trade(spark, [("abs", 1489536000000000000, "471", 1.0, 1.0)], "bigint"), IOWRT_3D)
+    assert ingest.prepare(fuel(spark, [20200101, 1577836800], "bigint"), FUELPRICE).isEmpty()
+
+
+@pytest.mark.parametrize(
+    "text,expected",
+    [
+        ("2020/01/07", dt.datetime(2020, 1, 7)),
+        ("07 Jan 2020", dt.datetime(2020, 1, 7)),
+        ("20200107", dt.datetime(2020, 1, 7)),
+        ("1/7/2020", dt.datetime(2020, 1, 7)),
+        (" 2020-01-07T05:06:07 ", dt.datetime(2020, 1, 7, 5, 6, 7)),
+        ("12:30", None),
+        ("20201399", None),
+        ("2020-13-01", None),
+    ],
+)
+def test_date_forms(spark, text, expected):
+    rows = ingest.prepare(fuel(spark, [text]), FUELPRICE).collect()
+    assert [r.ymd_date for r in rows] == ([expected] if expected else [])
+
+
+def test_seed_with_quotes_and_line_breaks(spark, tmp_path):
+    path = tmp_path / "lookup.csv"
+    path.write_text(
+        'group_code,desc_en,desc_bm,include_en\n011,"Sale of ""retail"", other",Tanaman,"a\nb"\n'
+        '471,"",,x\n'
+    )
+    first, second = readers.load_seed(spark, str(path)).orderBy("group_code").collect()
+    assert tuple(first) == ("011", 'Sale of "retail", other', "Tanaman", "a\nb")
+    assert tuple(second) == ("471", "", None, "x")
+    bad = tmp_path / "bad.csv"
+    bad.write_text("group_code,desc_en\n1,x\n")
+    with pytest.raises(ValueError, match="desc_bm"):
+        readers.load_seed(spark, str(bad))
+
+
+def test_columns_of_all_delivered_files_are_kept(spark, tmp_path):
+    old = trade(spark, [("abs", dt.date(2020, 1, 1), "471", 1.0, 1.0)])
+    old.drop("volume").coalesce(1).write.parquet(str(tmp_path / "in"))
+    old.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    assert set(readers.scan_landing(spark, str(tmp_path / "in")).columns) == set(old.columns)
+
+
+def test_raw_files_are_snappy(spark, tmp_path):
+    sinks.write_raw(ingest.prepare(fuel(spark, ["2017-03-22"]), FUELPRICE), str(tmp_path), FUELPRICE)
+    (file,) = (tmp_path / "fuelprice").rglob("*.parquet")
+    assert pq.ParquetFile(file).metadata.row_group(0).column(0).compression == "SNAPPY"
+
+
+def test_ingest_in_another_time_zone(spark, tmp_path, conf):
+    conf("spark.sql.session.timeZone", "Asia/Kuala_Lumpur")
+    path = str(tmp_path / "in")
+    trade(spark, [("abs", dt.date(2017, 3, 1), "471", 1.0, 1.0)]).write.parquet(path)
+    ingest_all(spark, {"iowrt_3d": path}, str(tmp_path / "raw"))
+    assert os.listdir(tmp_path / "raw" / "iowrt_3d" / "year=2017") == ["month=03"]

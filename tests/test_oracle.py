@@ -4,9 +4,11 @@ import pytest
 from compare import oracle_connection, oracle_rows, spark_rows
 
 import __spark_entry__ as entry
+from kedai import catalog
+from oracle import statements
 
-QUERIES = entry.queries()
-STATEMENTS = entry.oracle_sql()
+QUERIES = catalog.queries()
+STATEMENTS = statements()
 
 
 @pytest.fixture(scope="module")

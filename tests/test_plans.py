@@ -138,7 +138,7 @@ def test_bucket_files_match_their_layout(spark, published):
     assert per_cell.agg(F.max("count")).first()[0] == 1
 
 
-LAZY = [n for n in entry.queries() if not n.startswith(("raw_", "scan_", "ingest_a", "ingest_s"))]
+LAZY = [n for n in catalog.queries() if not n.startswith(("raw_", "scan_", "ingest_a", "ingest_s"))]
 
 
 @pytest.mark.parametrize("name", sorted(set(LAZY) - {"seed_csv", "dq_summary", "fct_partitioned_readback"}))

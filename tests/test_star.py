@@ -280,7 +280,7 @@ def test_daily_run_end_to_end(spark, tmp_path, delivered):
     }
     assert star.fact.count() == 4
     assert checks.where("status = 'fail'").isEmpty()
-    assert checks.count() == 18
+    assert checks.count() == 21
     for view in ("iowrt", "stg_iowrt", "stg_iowrt_3d", "stg_fuelprice", "stg_msic_lookup"):
         assert spark.catalog.tableExists(view)
     monthly = spark.sql(
@@ -340,3 +340,99 @@ def test_joins_do_not_multiply(small):
     assert joins.join_fuel_month(rows, prices).count() == 3
     assert joins.join_date(rows, days).count() == 3
     assert joins.join_group(rows, groups).count() == 3
+
+
+@pytest.mark.parametrize("parts", [1, 2, 3, 5, 7, 11, 16])
+def test_averages_do_not_depend_on_the_task_layout(spark, sf_dir, parts):
+    from kedai import fixtures as fx
+    from kedai.operators import staging
+
+    prices = staging.stg_fuelprice(fx.raw_fuelprice(spark, sf_dir))
+    lines = staging.stg_iowrt_3d(fx.trade_lines(spark, sf_dir))
+
+    def results(n):
+        spread = prices.repartition(n)
+        monthly = intermediate.int_fuelprice_monthly(spread)
+        measures = marts.fact_measures(lines.repartition(n), monthly)
+        frames = [monthly, analytics.fuel_change_weekly(spread), analytics.seasonality(measures)]
+        frames.append(analytics.growth_mom(lines.repartition(n)))
+        return [sorted(map(str, frame.collect())) for frame in frames]
+
+    assert results(parts) == results(4)
+
+
+def test_values_that_are_not_numbers_fail(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,), (-1.0,)], "v double")
+    check = quality.expression_is_true("v", F.col("v") >= 0)
+    assert quality.row_checks(df, "t", [check]).first().failures == 2
+
+
+def _star_inputs(spark, code="471", price=1.0, sales=1.0):
+    return {
+        "stg_iowrt_3d": trade(spark, [(dt.date(2020, 1, 1), code, sales, 1.0)]),
+        "stg_fuelprice": fuel(spark, [(dt.datetime(2020, 1, 7), price, 2.4, None, None)]),
+        "stg_msic_lookup": lookup(spark, [("471", f"Retail {price}", "Runcit")]),
+    }
+
+
+@pytest.mark.parametrize("how", ["gate", "write"])
+def test_a_failed_build_leaves_the_old_star(spark, tmp_path, how):
+    namespace, root = f"kept_{how}", str(tmp_path / "it's a root")
+    sinks.create_namespace(spark, namespace, str(tmp_path / "db"))
+    bounds = dims.spine_bounds(spark, dt.date(2020, 1, 1), dt.date(2020, 3, 1))
+    build_star(_star_inputs(spark), bounds, namespace, root, gate=True)
+    tables = ("int_fuelprice_monthly", "dim_msic_group", "dim_date", "fct_retail_sales_monthly")
+    before = {t: sorted(map(str, spark.table(f"{namespace}.{t}").collect())) for t in tables}
+    bad = _star_inputs(spark, code="999", price=9.0)
+    if how == "write":
+        bad = _star_inputs(spark, price=9.0)
+        broken = F.when(F.col("sales_value_rm_mil") > 0, F.raise_error(F.lit("lost"))).cast("double")
+        bad["stg_iowrt_3d"] = bad["stg_iowrt_3d"].withColumn("volume_index", broken)
+    with pytest.raises(Exception, match="relationships|lost"):
+        build_star(bad, bounds, namespace, root, gate=True)
+    assert {t: sorted(map(str, spark.table(f"{namespace}.{t}").collect())) for t in tables} == before
+    build_star(_star_inputs(spark, sales=5.0), bounds, namespace, root, gate=True)
+    fact = spark.table(f"{namespace}.fct_retail_sales_monthly")
+    assert [r.sales_value_rm_mil for r in fact.collect()] == [5.0]
+    for _ in range(3):
+        build_star(_star_inputs(spark), bounds, namespace, root)
+    from kedai.plans import daily
+
+    assert len(daily.versions(spark, namespace)) == daily.KEPT_VERSIONS
+    assert len(list((tmp_path / "it's a root").iterdir())) == 4 * daily.KEPT_VERSIONS
+
+
+def test_a_dataset_that_never_arrived_does_not_stop_the_fact(spark, tmp_path, delivered):
+    landing, seed = delivered
+    del landing["iowrt"]
+    _, star, checks = run_daily(
+        spark, landing, seed, str(tmp_path / "raw"), "partial", str(tmp_path / "star"),
+        as_of=dt.date(2020, 2, 15),
+    )
+    assert star.fact.count() == 4
+    assert checks.where("status = 'fail'").isEmpty()
+
+
+def test_work_folders_are_removed(spark):
+    from kedai import session
+
+    path = work_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    kept = dict(session._work_paths)
+    session._work_paths.clear()
+    session._work_paths[spark.conf.get("spark.app.id")] = [path]
+    assert session.release(spark) == 1
+    session._work_paths.update(kept)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path).count()
+
+
+def test_published_fact_prunes_partitions(spark, sf_dir):
+    from kedai import catalog
+
+    for name in ("kpi_recent_sales", "sales_filtered", "fct_since_fuel_start"):
+        plan = catalog.queries()[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in plan.splitlines() if "FileScan" in line and "fct-" in line]
+        # The latest month itself is found on the partition columns alone.
+        reads = [line for line in scans if "sales_value_rm_mil" in line]
+        assert reads and all("PartitionFilters: []" not in line for line in reads), name
