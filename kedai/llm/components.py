@@ -8,9 +8,18 @@ from pyspark.sql import functions as F
 from kedai.llm.common import store
 
 
-def _mark(edges: DataFrame) -> tuple:
-    mixed = F.expr("bit_xor(xxhash64(node, root))")
-    return tuple(edges.agg(F.count("*"), mixed).first())
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether every node has one root and no root is a node."""
+    ends = edges.select(
+        F.inline(
+            F.array(
+                F.struct(F.col("node").alias("end"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+                F.struct(F.col("root").alias("end"), F.lit(0).alias("up"), F.lit(1).alias("down")),
+            )
+        )
+    )
+    loose = ends.groupBy("end").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return loose.where("up > 1 OR (up > 0 AND down > 0)").isEmpty()
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -50,11 +59,19 @@ def components(links: DataFrame) -> DataFrame:
         .distinct(),
         "links",
     )
-    before = _mark(edges)
-    while before[0]:
+    while not _is_forest_of_stars(edges):
         edges = store(_small_star(_large_star(edges)), "links")
-        after = _mark(edges)
-        if after == before:
-            break
-        before = after
     return edges
+
+
+def first_labels(links: DataFrame) -> DataFrame:
+    """A label within reach of every linked node, after two steps only: node, root.
+
+    Nodes of one label are connected; connected nodes may still have several labels.
+    """
+    both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
+        links.select(F.col("b").alias("node"), F.col("a").alias("other"))
+    )
+    near = store(both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("root")), "labels")
+    next_ = near.select(F.col("node").alias("root"), F.col("root").alias("next"))
+    return store(near.join(next_, "root").select("node", F.col("next").alias("root")), "labels")

@@ -12,8 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kedai.llm.common import batch_rows, mix64, small_batches, store, text_or_empty
-from kedai.llm.components import components
+from kedai.llm.common import batch_rows, column_batches, mix64, small_batches, store, text_or_empty
+from kedai.llm.components import components, first_labels
 from kedai.llm.words import Runs, hash_words, split_words
 
 # A signature has LANES 16-bit MinHash values in each of CHUNKS long integers.
@@ -22,10 +22,6 @@ SYMBOLS = CHUNKS * LANES
 # Chance that a pair exactly at the similarity threshold is not found.
 MISS = 3e-6
 
-# Buckets with up to this many rows outside their largest component are compared row by row; in
-# larger ones about this many hubs (twice as many each round) are compared with all rows.
-RESIDUE, HUBS = 32, 8
-
 # Document ids are broadcast up to this many; more are joined by shuffling.
 BROADCAST_IDS = 1 << 20
 
@@ -110,14 +106,14 @@ def profile(rows: DataFrame, size: int) -> DataFrame:
     )
 
 
-def _keys(chunks: int) -> Column:
+def _keys(chunks: int, name: str = "signature") -> Column:
     """Index keys of a signature: every indexed chunk with each of its values left out in turn."""
     keys = []
     for chunk in range(chunks):
         for lane in range(LANES):
             mask = ((1 << 64) - 1) ^ (((1 << BITS) - 1) << (BITS * lane))
             mask -= (mask >> 63) << 64
-            value = F.col("signature")[chunk].bitwiseAND(F.lit(mask).cast("long"))
+            value = F.col(name)[chunk].bitwiseAND(F.lit(mask).cast("long"))
             keys.append(F.xxhash64(F.lit(chunk * LANES + lane), value))
     return F.array(*keys)
 
@@ -134,51 +130,86 @@ def _differing(x: Column, y: Column) -> Column:
     return F.aggregate(F.zip_with(x, y, lanes), F.lit(0), lambda total, n: total + n)
 
 
-def _candidates(buckets: DataFrame, labels: DataFrame | None, round_: int) -> tuple:
-    """Pairs to compare in this round, hubs that are done with, and whether buckets are left.
+def _hub_pairs(buckets: DataFrame) -> DataFrame:
+    """Every row of a bucket with the bucket's hub."""
+    pair = (F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b"))
+    return buckets.where("doc <> hub").select(*pair).distinct()
 
-    Rows of one component need no comparison among each other. A bucket with few rows outside its
-    largest component is finished: those rows are paired with all others. Of a larger bucket, some
-    rows are drawn as hubs and paired with all others; hubs need not be looked at again. The number
-    of hubs doubles every round, so that buckets without links end too.
-    """
-    rows = buckets.withColumn("root", F.col("doc"))
-    if labels is not None:
-        rows = buckets.join(labels.select(F.col("node").alias("doc"), "root"), "doc", "left")
-        rows = rows.withColumn("root", F.coalesce("root", "doc"))
-        rows = store(rows.select("key", "doc", "root"), "buckets")
+
+def _lone_shingles(docs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """How many shingles of each given document none of the others holds: doc, alone."""
+    few = F.broadcast(docs) if docs.count() <= BROADCAST_IDS else docs
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parts() -> Iterator[list[np.ndarray]]:
+            for doc, text in batch_rows(batches, "doc", "text"):
+                hashes = shingle_hashes(normal_words(text), size)
+                yield [np.full(len(hashes), doc, dtype=np.int64), hashes.view(np.int64)]
+
+        return column_batches(parts(), ["doc", "shingle"])
+
+    held = texts.join(few, "doc", "left_semi").select("doc", "text")
+    return (
+        held.mapInArrow(shingles, "doc long, shingle long")
+        .groupBy("shingle")
+        .agg(F.min("doc").alias("doc"), F.max("doc").alias("last"))
+        .where("doc = last")
+        .groupBy("doc")
+        .agg(F.count("*").alias("alone"))
+    )
+
+
+def _open_rows(rows: DataFrame) -> DataFrame:
+    """Rows of buckets that hold more than one component, with the bucket's largest component."""
     parts = rows.groupBy("key", "root").agg(F.count("*").alias("n"))
     state = (
         parts.groupBy("key")
         .agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("top"))
         .where("top.n < n")
-        .select("key", "n", F.col("top.root").alias("top"), (F.col("n") - F.col("top.n")).alias("rest"))
+        .select("key", F.col("top.root").alias("top"))
+    )
+    return rows.join(store(state, "open-buckets"), "key")
+
+
+def _rest_pairs(
+    buckets: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int
+) -> DataFrame:
+    """Pairs of a bucket that the comparisons with its hub have left open: a, b.
+
+    Rows of one component need no comparison among each other; those outside the bucket's largest
+    component are paired with all others, each pair in the first bucket that both are in. Two sets
+    have no more in common than either has in common with all documents of open buckets; pairs that
+    this bound or the signature distance rules out are dropped inside the join.
+    """
+    roots = labels.select(F.col("node").alias("doc"), "root")
+    rows = buckets.where("n > 2 AND doc <> hub").select("key", "j", "doc").join(roots, "doc", "left")
+    rows = store(rows.withColumn("root", F.coalesce("root", "doc")), "bucket-rows")
+    open_ = store(_open_rows(rows).drop("top"), "open-rows")
+    docs = store(open_.select("doc").distinct(), "open-documents")
+    # Of an id with several texts nothing is known to be its own.
+    several = classes.groupBy("doc").count().where("count > 1")
+    alone = store(_lone_shingles(docs, texts, size).join(several, "doc", "left_anti"), "alone")
+    sets = docs.join(alone, "doc", "left").join(classes.drop("digest"), "doc")
+    shared = F.col("n_shingles") - F.coalesce("alone", F.lit(0))
+    sets = sets.select("doc", "signature", "n_shingles", shared.alias("shared"))
+    sets = store(sets.where(100 * F.col("shared") >= percent * F.col("n_shingles")), "open-sets")
+    left = store(_open_rows(open_.join(sets.select("doc"), "doc", "left_semi")), "rest")
+    whole = left.join(sets, "doc")
+    others = left.where("root <> top").join(sets, "doc").select(
+        *(F.col(c).alias(f"{c}_x") for c in ("key", "doc", "root", "signature", "n_shingles", "shared"))
     )
-    state = store(state, "bucket-state")
-    last = state.where(F.col("rest") <= RESIDUE)
-    open_ = state.where(F.col("rest") > RESIDUE)
-    first = rows.join(last.select("key", "top"), "key").where("root <> top").drop("top")
-    many = open_.limit(1).count() > 0
-    hubs = None
-    if many:
-        drawn = F.pmod(F.xxhash64(F.lit(round_), F.col("doc")), F.col("n")) < (HUBS << round_)
-        hubs = rows.join(open_.select("key", "n"), "key").where(drawn).drop("n")
-        hubs = store(hubs, "hubs")
-        first = first.unionByName(hubs)
-    one = first.select("key", F.col("doc").alias("x"), F.col("root").alias("root_x"))
-    pairs = (
-        rows.join(one, "key")
-        .where("root <> root_x")
-        .select(F.least("doc", "x").alias("a"), F.greatest("doc", "x").alias("b"))
-        .distinct()
+    col = F.col
+    once = (col("root") != col("root_x")) & ((col("root") == col("top")) | (col("doc_x") < col("doc")))
+    most = F.least("shared", "shared_x") * (100 + percent)
+    possible = most >= percent * (col("n_shingles") + col("n_shingles_x"))
+    near = _differing(col("signature"), col("signature_x")) <= radius(percent / 100)
+    chunks = chunks_needed(percent / 100)
+    first = F.array_position(
+        F.zip_with(_keys(chunks, "signature"), _keys(chunks, "signature_x"), lambda p, q: p == q), F.lit(True)
     )
-    remaining = None
-    if many:
-        remaining = store(
-            buckets.join(open_.select("key"), "key").join(hubs.select("key", "doc"), ["key", "doc"], "left_anti"),
-            "buckets",
-        )
-    return pairs, remaining
+    same = (col("key") == col("key_x")) & once & possible & near & (first - 1 == col("j"))
+    pairs = whole.join(others, same)
+    return pairs.select(F.least("doc", "doc_x").alias("a"), F.greatest("doc", "doc_x").alias("b"))
 
 
 def _near(pairs: DataFrame, signatures: DataFrame, limit: int) -> DataFrame:
@@ -240,9 +271,11 @@ def link_groups(
     Pairs are then confirmed on their whole sets.
 
     Documents of one word sequence are one class, compared through its smallest id. Buckets are never
-    expanded into all pairs: rows already in one component are not compared again, and in large
-    buckets a few hubs a round are compared with all rows until few rows are left outside the largest
-    component. Nothing is capped: every pair of a bucket is compared or known to be connected.
+    expanded into all pairs: first every row is compared with its bucket's hub; rows that are in one
+    component then are not compared again. Of the others, documents with too many shingles of their
+    own can't reach the threshold with anyone and drop out; the rest is compared as far as shingles
+    shared with anyone allow. Nothing is capped: every pair of a bucket is compared, known to be
+    connected or known to be too far apart.
 
     Null and empty texts, and texts without words, have empty sets and are linked with nothing. Fewer
     words than ``size`` are one run. Rows with a null id are returned with themselves as (null)
@@ -258,23 +291,31 @@ def link_groups(
     profiles = store(profile(rows, size), "signatures")
     usable = profiles.where("doc_id IS NOT NULL AND n_shingles > 0")
     classes = usable.groupBy("digest").agg(
-        F.min("doc_id").alias("doc"), F.first("signature").alias("signature")
+        F.min("doc_id").alias("doc"),
+        F.first("signature").alias("signature"),
+        F.first("n_shingles").alias("n_shingles"),
     )
     classes = store(classes, "classes")
-    keys = classes.select("doc", F.explode(_keys(chunks_needed(similarity))).alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    buckets = store(keys.join(shared, "key").select("key", "doc"), "buckets")
+    chunks = chunks_needed(similarity)
+    keys = classes.select("doc", F.posexplode(_keys(chunks)).alias("j", "key"))
+    # The hub is the row of the least hash, so that buckets of one group tend to share theirs.
+    shared = (
+        keys.groupBy("key")
+        .agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("doc"), "doc")).alias("hub"))
+        .where("n > 1")
+        .select("key", F.col("hub.doc").alias("hub"), "n")
+    )
+    buckets = store(keys.join(store(shared, "shared-keys"), "key").select("key", "j", "doc", "hub", "n"), "buckets")
 
     # A document's id stands for its class; only the class's first document brings its text.
     texts = rows.select(F.col("doc_id").alias("doc"), "text")
-    links, labels, round_ = None, None, 0
-    while buckets is not None:
-        pairs, buckets = _candidates(buckets, labels, round_)
-        found = _confirm(_near(pairs, classes, radius(similarity)), texts, size, percent)
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
-        links = labels.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        round_ += 1
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        return _confirm(pairs, texts, size, percent)
+
+    hubs = store(confirmed(_near(_hub_pairs(buckets), classes, radius(similarity))), "hub-links")
+    rest = _rest_pairs(buckets, first_labels(hubs), classes, texts, size, percent)
+    labels = components(hubs.unionByName(confirmed(rest)))
 
     of_class = classes.select("digest", "doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
     of_class = of_class.select("digest", F.coalesce("root", "doc").alias("root"))
@@ -299,18 +340,18 @@ def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     that repeat an id are shuffled with their texts.
     """
     groups = store(link_groups(docs, size, percent), "groups")
-    gone = store(groups.where(~F.col("kept")).select(F.col("doc_id").alias("__doc")).distinct(), "gone")
-    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("__doc"), "left_anti")
-    again = store(
-        groups.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__doc")),
-        "repeated",
+    gone = store(groups.where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    few = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    rows = docs.select(
+        F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").alias("text")
     )
+    left = rows.join(few, F.col("id") == F.col("gone"), "left_anti")
+    again = groups.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL")
+    again = store(again.select(F.col("doc_id").alias("again")), "repeated")
     repeated = again.count()
-    if not repeated:
-        return left
-    again = F.broadcast(again) if repeated <= BROADCAST_IDS else again
-    same = F.col("doc_id").cast("long") == F.col("__doc")
-    return left.join(again, same, "left_anti").unionByName(
-        left.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    )
+    if repeated:
+        again = F.broadcast(again) if repeated <= BROADCAST_IDS else again
+        same = F.col("id") == F.col("again")
+        once = left.join(again, same, "left_semi").dropDuplicates(["id", "text"])
+        left = left.join(again, same, "left_anti").unionByName(once)
+    return left.select("row.*")

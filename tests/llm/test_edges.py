@@ -204,8 +204,6 @@ def _closed(pairs, docs):
 @pytest.mark.parametrize("forced", [False, True])
 def test_near_duplicates_of_a_large_group(spark, monkeypatch, forced):
     if forced:
-        monkeypatch.setattr(neardup, "RESIDUE", 1)
-        monkeypatch.setattr(neardup, "HUBS", 1)
         monkeypatch.setattr(neardup, "BROADCAST_IDS", 0)
     rng = random.Random(2)
     base = [f"b{k}" for k in range(120)]
