@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kedai.llm.common import batch_rows, column_batches, mix64, small_batches, store, text_or_empty
+from kedai.llm.common import batch_rows, mix64, small_batches, store, text_or_empty
 from kedai.llm.components import components, first_labels
 from kedai.llm.words import Runs, hash_words, split_words
 
@@ -136,27 +136,28 @@ def _hub_pairs(buckets: DataFrame) -> DataFrame:
     return buckets.where("doc <> hub").select(*pair).distinct()
 
 
-def _lone_shingles(docs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """How many shingles of each given document none of the others holds: doc, alone."""
+def _open_sets(docs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """The whole shingle set of each given document: doc, hashes."""
     few = F.broadcast(docs) if docs.count() <= BROADCAST_IDS else docs
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def parts() -> Iterator[list[np.ndarray]]:
-            for doc, text in batch_rows(batches, "doc", "text"):
-                hashes = shingle_hashes(normal_words(text), size)
-                yield [np.full(len(hashes), doc, dtype=np.int64), hashes.view(np.int64)]
-
-        return column_batches(parts(), ["doc", "shingle"])
+        for batch in batches:
+            for doc, text in batch_rows(iter([batch]), "doc", "text"):
+                hashes = shingle_hashes(normal_words(text), size).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([doc], pa.int64()), pa.array([hashes], pa.list_(pa.int64()))],
+                    names=["doc", "hashes"],
+                )
 
     held = texts.join(few, "doc", "left_semi").select("doc", "text")
-    return (
-        held.mapInArrow(shingles, "doc long, shingle long")
-        .groupBy("shingle")
-        .agg(F.min("doc").alias("doc"), F.max("doc").alias("last"))
-        .where("doc = last")
-        .groupBy("doc")
-        .agg(F.count("*").alias("alone"))
-    )
+    return held.mapInArrow(shingles, "doc long, hashes array<bigint>")
+
+
+def _lone_shingles(sets: DataFrame) -> DataFrame:
+    """How many shingles of each document none of the others holds: doc, alone."""
+    each = sets.select("doc", F.explode("hashes").alias("shingle"))
+    ends = each.groupBy("shingle").agg(F.min("doc").alias("doc"), F.max("doc").alias("last"))
+    return ends.where("doc = last").groupBy("doc").agg(F.count("*").alias("alone"))
 
 
 def _open_rows(rows: DataFrame) -> DataFrame:
@@ -171,10 +172,10 @@ def _open_rows(rows: DataFrame) -> DataFrame:
     return rows.join(store(state, "open-buckets"), "key")
 
 
-def _rest_pairs(
+def _rest_links(
     buckets: DataFrame, labels: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int
 ) -> DataFrame:
-    """Pairs of a bucket that the comparisons with its hub have left open: a, b.
+    """Links of a bucket that the comparisons with its hub have left open: a, b.
 
     Rows of one component need no comparison among each other; those outside the bucket's largest
     component are paired with all others, each pair in the first bucket that both are in. Two sets
@@ -186,30 +187,32 @@ def _rest_pairs(
     rows = store(rows.withColumn("root", F.coalesce("root", "doc")), "bucket-rows")
     open_ = store(_open_rows(rows).drop("top"), "open-rows")
     docs = store(open_.select("doc").distinct(), "open-documents")
+    hashes = store(_open_sets(docs, texts, size), "open-hashes")
     # Of an id with several texts nothing is known to be its own.
     several = classes.groupBy("doc").count().where("count > 1")
-    alone = store(_lone_shingles(docs, texts, size).join(several, "doc", "left_anti"), "alone")
-    sets = docs.join(alone, "doc", "left").join(classes.drop("digest"), "doc")
-    shared = F.col("n_shingles") - F.coalesce("alone", F.lit(0))
-    sets = sets.select("doc", "signature", "n_shingles", shared.alias("shared"))
+    alone = _lone_shingles(hashes).join(several, "doc", "left_anti")
+    sets = hashes.join(alone, "doc", "left").join(classes.drop("digest"), "doc")
+    shared = F.size("hashes") - F.coalesce("alone", F.lit(0))
+    keys = _keys(chunks_needed(percent / 100)).alias("keys")
+    n = F.size("hashes").alias("n_shingles")
+    sets = sets.select("doc", "signature", keys, n, shared.alias("shared"), "hashes")
     sets = store(sets.where(100 * F.col("shared") >= percent * F.col("n_shingles")), "open-sets")
     left = store(_open_rows(open_.join(sets.select("doc"), "doc", "left_semi")), "rest")
     whole = left.join(sets, "doc")
+    carried = ("key", "doc", "root", "signature", "keys", "n_shingles", "shared", "hashes")
     others = left.where("root <> top").join(sets, "doc").select(
-        *(F.col(c).alias(f"{c}_x") for c in ("key", "doc", "root", "signature", "n_shingles", "shared"))
+        *(F.col(name).alias(f"{name}_x") for name in carried)
     )
     col = F.col
     once = (col("root") != col("root_x")) & ((col("root") == col("top")) | (col("doc_x") < col("doc")))
-    most = F.least("shared", "shared_x") * (100 + percent)
-    possible = most >= percent * (col("n_shingles") + col("n_shingles_x"))
+    both = percent * (col("n_shingles") + col("n_shingles_x"))
+    possible = F.least("shared", "shared_x") * (100 + percent) >= both
+    first = F.expr("NOT arrays_overlap(slice(keys, 1, j), slice(keys_x, 1, j))")
     near = _differing(col("signature"), col("signature_x")) <= radius(percent / 100)
-    chunks = chunks_needed(percent / 100)
-    first = F.array_position(
-        F.zip_with(_keys(chunks, "signature"), _keys(chunks, "signature_x"), lambda p, q: p == q), F.lit(True)
-    )
-    same = (col("key") == col("key_x")) & once & possible & near & (first - 1 == col("j"))
-    pairs = whole.join(others, same)
-    return pairs.select(F.least("doc", "doc_x").alias("a"), F.greatest("doc", "doc_x").alias("b"))
+    similar = F.size(F.array_intersect("hashes", "hashes_x")) * (100 + percent) >= both
+    same = (col("key") == col("key_x")) & once & possible & first & near & similar
+    links = whole.join(others, same)
+    return links.select(F.least("doc", "doc_x").alias("a"), F.greatest("doc", "doc_x").alias("b"))
 
 
 def _near(pairs: DataFrame, signatures: DataFrame, limit: int) -> DataFrame:
@@ -314,8 +317,8 @@ def link_groups(
         return _confirm(pairs, texts, size, percent)
 
     hubs = store(confirmed(_near(_hub_pairs(buckets), classes, radius(similarity))), "hub-links")
-    rest = _rest_pairs(buckets, first_labels(hubs), classes, texts, size, percent)
-    labels = components(hubs.unionByName(confirmed(rest)))
+    rest = _rest_links(buckets, first_labels(hubs), classes, texts, size, percent)
+    labels = components(hubs.unionByName(rest))
 
     of_class = classes.select("digest", "doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
     of_class = of_class.select("digest", F.coalesce("root", "doc").alias("root"))
