@@ -62,16 +62,3 @@ def components(links: DataFrame) -> DataFrame:
     while not _is_forest_of_stars(edges):
         edges = store(_small_star(_large_star(edges)), "links")
     return edges
-
-
-def first_labels(links: DataFrame) -> DataFrame:
-    """A label within reach of every linked node, after two steps only: node, root.
-
-    Nodes of one label are connected; connected nodes may still have several labels.
-    """
-    both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
-        links.select(F.col("b").alias("node"), F.col("a").alias("other"))
-    )
-    near = store(both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("root")), "labels")
-    next_ = near.select(F.col("node").alias("root"), F.col("root").alias("next"))
-    return store(near.join(next_, "root").select("node", F.col("next").alias("root")), "labels")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kedai.llm.common import batch_rows, mix64, small_batches, store, text_or_empty
-from kedai.llm.components import components, first_labels
+from kedai.llm.components import components
 from kedai.llm.words import Runs, hash_words, split_words
 
 # A signature has LANES 16-bit MinHash values in each of CHUNKS long integers.
@@ -316,9 +316,10 @@ def link_groups(
     def confirmed(pairs: DataFrame) -> DataFrame:
         return _confirm(pairs, texts, size, percent)
 
-    hubs = store(confirmed(_near(_hub_pairs(buckets), classes, radius(similarity))), "hub-links")
-    rest = _rest_links(buckets, first_labels(hubs), classes, texts, size, percent)
-    labels = components(hubs.unionByName(rest))
+    labels = components(confirmed(_near(_hub_pairs(buckets), classes, radius(similarity))))
+    rest = _rest_links(buckets, labels, classes, texts, size, percent)
+    known = labels.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    labels = components(known.unionByName(rest))
 
     of_class = classes.select("digest", "doc").join(labels.withColumnRenamed("node", "doc"), "doc", "left")
     of_class = of_class.select("digest", F.coalesce("root", "doc").alias("root"))
