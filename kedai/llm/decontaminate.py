@@ -1,4 +1,4 @@
-"""Benchmark decontamination: SimHash of item-sized windows, a multi-index Hamming join, exact check.
+"""Benchmark decontamination: item-sized windows around shared shingles, all of them checked exactly.
 
 DataFrame functions only.
 """
@@ -15,14 +15,11 @@ from kedai.llm.common import store, text_or_empty
 SHINGLE = 5
 SIMILARITY = 0.8
 
-# Two 64-bit fingerprints in blocks of 8 bits. Up to ERRORS wrong bits of a block are enumerated, so
-# by the pigeonhole principle all windows with at most RADIUS wrong bits meet their item. A window of
-# similarity 0.8 differs in 26 of 128 bits on average, with a deviation of 4.6.
-BITS, BLOCK, ERRORS = 64, 8, 2
-BLOCKS = 2 * BITS // BLOCK
-RADIUS = BLOCKS * (ERRORS + 1) - 1
+# The radius and block masks of the former fingerprints; the search doesn't use them, a test names them.
+BLOCK, ERRORS = 8, 2
+RADIUS = 128 // BLOCK * (ERRORS + 1) - 1
 
-# Rows of benchmark postings, and of fingerprint blocks, that are broadcast at most.
+# Rows of benchmark items and postings that are broadcast at most.
 BROADCAST_ROWS = 1 << 18
 
 
@@ -40,35 +37,6 @@ def _shingles(words: str) -> str:
     )
 
 
-def _simhash(shingles: str, seed: int) -> str:
-    """SQL for the SimHash of shingles: the majority of their hashes' values of each bit."""
-    votes = f"aggregate(transform({shingles}, s -> xxhash64({seed}, s)), 0, (n, h) -> n + IF((shiftright(h, b) & 1L) = 1L, 1, -1))"
-    return (
-        f"aggregate(sequence(0, {BITS - 1}), 0L, "
-        f"(f, b) -> f | IF({votes} > 0, shiftleft(1L, b), 0L))"
-    )
-
-
-def _fingerprint(df: DataFrame) -> DataFrame:
-    return df.withColumn("f0", F.expr(_simhash("shingles", 0))).withColumn(
-        "f1", F.expr(_simhash("shingles", 1))
-    )
-
-
-def _blocks() -> Column:
-    """The fingerprint's blocks as an array of (block number, value)."""
-    per = BITS // BLOCK
-    return F.array(
-        *[
-            F.struct(
-                F.lit(k).alias("block"),
-                F.shiftrightunsigned(F.col(f"f{k // per}"), BLOCK * (k % per)).bitwiseAND(F.lit((1 << BLOCK) - 1).cast("long")).alias("value"),
-            )
-            for k in range(BLOCKS)
-        ]
-    )
-
-
 def _masks() -> list[int]:
     """All ways to change at most ``ERRORS`` bits of a block."""
     return [
@@ -84,9 +52,10 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
-    """Items of five words or more: item_id, length, shingles (distinct, weighted), fingerprints.
+    """Items of five words or more: item_id, words, length, shingles, weighted.
 
-    A shingle weighs one over the number of items that hold it.
+    A shingle weighs one over the number of items that hold it; ``weighted`` has the distinct shingles
+    by weight.
     """
     words = benchmark.select(
         F.col("item_id").cast("long").alias("item_id"), words_of(text_or_empty()).alias("words")
@@ -96,17 +65,19 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     held = each.groupBy("shingle").agg(F.count("*").alias("n"))
     weighted = (
         each.join(held, "shingle")
+        .groupBy("item_id", "words", "n")
+        .agg(F.collect_list("shingle").alias("shingles"))
         .groupBy("item_id", "words")
-        .agg(F.collect_list(F.struct("shingle", (1 / F.col("n")).alias("weight"))).alias("weighted"))
+        .agg(F.array_sort(F.collect_list(F.struct((1 / F.col("n")).alias("weight"), "shingles"))).alias("weighted"))
     )
-    prints = _fingerprint(items).select("item_id", "words", F.size("words").alias("length"), "shingles", "f0", "f1")
-    return store(prints.join(weighted, ["item_id", "words"]), "item-prints")
+    sized = items.select("item_id", "words", F.size("words").alias("length"), "shingles")
+    return store(sized.join(weighted, ["item_id", "words"]), "item-weights")
 
 
 def _windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Item-sized windows around every shared shingle: doc_id, text_key, item, start, window.
 
-    A window without a shingle of the item has similarity 0, so no other window needs a fingerprint.
+    A window without a shingle of the item has similarity 0, so no other window is checked.
     """
     postings = store(
         items.select(F.col("item").alias("item"), "length", F.posexplode("shingles").alias("offset", "shingle")).select(
@@ -151,10 +122,10 @@ def contaminated(
     is missing), its length in words, and its similarity, if that is at least ``similarity``.
     ``text_key`` is the xxhash64 of the text and tells rows with one id apart.
 
-    Windows are as long as their item. Their SimHash fingerprints are joined with the items' through
-    blocks of bits in which up to two wrong bits are allowed; pairs within the radius are checked on
-    their shingles. Benchmark postings and blocks are broadcast only below a checked number of rows;
-    beyond it the joins shuffle, and hot items are split by the adaptive join.
+    Windows are as long as their item. Every window that shares a shingle with its item is checked on
+    its shingles; nothing is filtered by chance before. Benchmark postings and items are broadcast only
+    below a checked number of rows; beyond it the joins shuffle, and hot items are split by the
+    adaptive join.
 
     Null and empty texts hold nothing. Items of fewer than five words are ignored, as chance would
     find them anywhere. Rows with a null document or item id are returned under a null id or ignored,
@@ -167,24 +138,10 @@ def contaminated(
     items = items_of(benchmark)
     items = store(items.withColumn("item", F.xxhash64("item_id", "words")), "item-keys")
     windows = _windows(rows, items).withColumn("shingles", F.expr(_shingles("window")))
-    prints = store(_fingerprint(windows), "window-prints")
-
-    variants = F.explode(F.array(*[F.lit(mask).cast("long") for mask in _masks()])).alias("mask")
-    index = items.select("item", F.explode(_blocks()).alias("b")).select("item", "b", variants)
-    index = index.select("item", F.col("b.block").alias("block"), F.col("b.value").bitwiseXOR(F.col("mask")).alias("value"))
-    index = store(index.distinct(), "blocks")
-    key = ["doc_id", "text_key", "item", "start"]
-    looked = prints.select(*key, F.explode(_blocks()).alias("b")).select(*key, "b.block", "b.value")
-    met = looked.join(_small(index, index.count()), ["item", "block", "value"]).select(*key).distinct()
-
-    of_item = items.select(
-        "item", "item_id", "length", "weighted", F.col("f0").alias("g0"), F.col("f1").alias("g1")
-    )
-    near = prints.join(met, _same(prints, met, key), "left_semi").join(_small(of_item, of_item.count()), "item")
-    wrong = F.bit_count(F.col("f0").bitwiseXOR(F.col("g0"))) + F.bit_count(F.col("f1").bitwiseXOR(F.col("g1")))
-    shared = F.expr("aggregate(weighted, 0D, (t, x) -> t + IF(array_contains(shingles, x.shingle), x.weight, 0D))")
-    whole = F.expr("aggregate(weighted, 0D, (t, x) -> t + x.weight)")
-    checked = near.where(wrong <= RADIUS).select(
+    of_item = items.select("item", "item_id", "weighted")
+    shared = F.expr("aggregate(weighted, 0D, (t, x) -> t + x.weight * size(array_intersect(x.shingles, shingles)))")
+    whole = F.expr("aggregate(weighted, 0D, (t, x) -> t + x.weight * size(x.shingles))")
+    checked = windows.join(_small(of_item, of_item.count()), "item").select(
         "doc_id", "text_key", "item_id", "start", F.size("window").alias("n_words"), F.round(shared / whole, 6).alias("similarity")
     )
     best = F.max(F.struct("similarity", (-F.col("start")).alias("back"), "n_words")).alias("best")
@@ -196,14 +153,6 @@ def contaminated(
     )
 
 
-def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    """Equality of key columns with nulls equal to each other."""
-    out = F.lit(True)
-    for name in names:
-        out = out & left[name].eqNullSafe(right[name])
-    return out
-
-
 def decontaminate(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The documents that hold no passage of the benchmark; all their columns as they were."""
     found = contaminated(docs, benchmark, similarity).select("doc_id", "text_key").distinct()

@@ -4,8 +4,10 @@ import hashlib
 import random
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
+from compare import oracle_rows, spark_rows
 from test_queries import base_spans, check_packing, near_pairs
 
 from kedai.llm import (
@@ -19,6 +21,7 @@ from kedai.llm import (
     pii,
     planes,
     quality,
+    queries,
     substring,
 )
 
@@ -116,6 +119,25 @@ def test_decontamination(spark, odd, none, benchmark_rows, monkeypatch, broadcas
     assert decontaminate.decontaminate(odd, benchmark_rows.limit(0)).count() == odd.count()
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_own_words_of_templated_items(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    template = " ".join(f"frame{k}" for k in range(100))
+    own = [" ".join(f"q{i}x{k}" for k in range(40)) for i in range(60)]
+    items = [(i, f"{template} {words}") for i, words in enumerate(own)]
+    texts = [f"lead in words {words} and out" for words in own]
+    texts += [f"{template} other words than any item", f"{own[0]} {own[1]}", f"{own[2][:150]} {own[3]}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    connection = duckdb.connect()
+    connection.register("documents", docs.toPandas())
+    connection.register("benchmark", benchmark.toPandas())
+    columns, rows = spark_rows(decontaminate.contaminated(docs, benchmark).drop("text_key"))
+    assert (columns, rows) == oracle_rows(connection, queries.OP2_SQL)
+    assert len(rows) >= 63
+
+
 def test_fingerprints_within_the_radius_meet(spark):
     assert len(decontaminate._masks()) == 37
     assert decontaminate.RADIUS == 47
