@@ -54,7 +54,7 @@ def located(text: Column, pattern: str) -> Column:
         start = state["at"] + F.length(pair["gap"])
         end = start + F.length(pair["found"])
         span = F.struct(
-            start.alias("start"), end.alias("end"), pair["found"].alias("found"), F.right(pair["gap"], F.lit(64)).alias("gap")
+            start.alias("start"), end.alias("end"), pair["found"].alias("found"), pair["gap"].alias("gap")
         )
         return F.struct(end.alias("at"), F.concat(state["out"], F.array(span)).alias("out"))
 
@@ -131,21 +131,32 @@ def _shape(token: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(token, r"\p{L}+", "a"), "[0-9]+", "9")
 
 
+def _last_word(gap: Column) -> Column:
+    """The last word of a gap, empty if it has none; read backwards, which takes linear time."""
+    return F.reverse(F.regexp_extract(F.reverse(gap), r"^\s*+(\S++)", 1))
+
+
 def profile(rows: DataFrame) -> DataFrame:
-    """Base spans of every text, and its words with digits: their cores, contexts and places."""
+    """Base spans of every text, and its words with digits: their cores, contexts and places.
+
+    The context is the word before in the text, with or without digits; only a text's first word has
+    none.
+    """
     spotted = rows.select(
         *KEY, base_spans(F.col("text")).alias("base"), located(F.col("text"), TOKEN).alias("tokens")
     )
     edge = r"^[^\p{L}\p{N}]*"
 
-    def occurrence(span: Column) -> Column:
+    def occurrence(span: Column, at: Column) -> Column:
+        previous = F.when(at > 0, F.get(F.col("tokens"), at - 1)["found"]).otherwise("")
+        word = _last_word(span["gap"])
         core = F.regexp_replace(F.regexp_replace(span["found"], edge, ""), r"[^\p{L}\p{N}]+$", "")
         start = span["start"] + F.length(F.regexp_extract(span["found"], edge, 0))
         return F.struct(
             start.alias("start"),
             (start + F.length(core)).alias("end"),
             core.alias("instance"),
-            F.lower(F.regexp_extract(span["gap"], r"(\S+)\s*$", 1)).alias("before"),
+            F.lower(F.when(word != "", word).otherwise(previous)).alias("before"),
             _shape(span["found"]).alias("shape"),
         )
 
@@ -164,7 +175,8 @@ def trusted_patterns(found: DataFrame) -> DataFrame:
 
     The graph links patterns and instances. Seeds score 1. In each round a pattern's confidence is the
     mean score of its distinct instances, and an instance's score the best confidence of its trusted
-    patterns; new instances may raise further patterns.
+    patterns; new instances may raise further patterns. Without a word before there is no context, so
+    such places count for their instances but form no trusted pattern.
     """
     pattern = ["before", "shape"]
     edges = store(
@@ -178,6 +190,7 @@ def trusted_patterns(found: DataFrame) -> DataFrame:
         trusted = store(
             scored.groupBy(*pattern)
             .agg(F.avg("score").alias("confidence"), sure.alias("support"))
+            .where("before <> ''")
             .where((F.col("confidence") >= CONFIDENCE) & (F.col("support") >= SUPPORT))
             .select(*pattern, "confidence"),
             "patterns",

@@ -181,6 +181,21 @@ def test_contexts_discover_identifiers(spark):
     assert found[41].spans == "" and found[42].spans == ""
 
 
+def test_contexts_are_the_words_before(spark):
+    phones = [f"call +1 ({100 + k}) 555-{1000 + 7 * k} now" for k in range(40)]
+    opening = [f"10.1.{k}.7 opens" for k in range(20)]
+    badges = [f"badge77 10.2.{k}.7 in" for k in range(20)]
+    wide = [f"host{' ' * 70}10.3.{k}.7 in" for k in range(20)]
+    long = [f"a{'x' * 70} 10.4.{k}.7 in" for k in range(20)]
+    more = ["2019-2020 2021-2022", "910.2.3.4441 opens", "badge77 910.2.3.4442 in", "other88 910.2.3.4443 in"]
+    more += [f"host{' ' * 70}910.2.3.4444 in", f"b{'x' * 70} 910.2.3.4445 in", f"a{'x' * 70} 910.2.3.4446 in"]
+    rows = [*phones, *opening, *badges, *wide, *long, *more]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    found = {rows[row.doc_id]: row.spans for row in pii.find(docs).collect()}
+    places = ["", "", "identifier:8:20", "", "identifier:74:86", "", "identifier:72:84"]
+    assert [found[text] for text in more] == places
+
+
 # --- quality --------------------------------------------------------------------------------
 
 
