@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 
 from pyspark.errors import AnalysisException
@@ -19,6 +20,9 @@ PERIOD_WIDTH = {"year": 4, "month": 2, "day": 2}
 OWN_FILES = "part-*"
 OTHER_FILES = "{[!p]*,p[!a]*,pa[!r]*,par[!t]*,part[!-]*}"
 
+# Folder beside a dataset's periods with the columns of its files; scans skip names like this.
+COLUMNS = "_columns"
+
 
 def scan_landing(
     spark: SparkSession, path: str, schema: T.StructType | None = None
@@ -80,11 +84,43 @@ def scan_raw(
     return df.withColumns(padded | absent)
 
 
+def recorded_columns(spark: SparkSession, path: str) -> T.StructType | None:
+    """The columns that ``sinks.write_raw`` recorded beside a dataset; nothing in older raw zones."""
+    try:
+        rows = spark.read.schema("columns string").json(f"{path}/{COLUMNS}").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    kinds = [T.StructType.fromJson(json.loads(row.columns)) for row in rows]
+    return united(*kinds) if kinds else None
+
+
+def own_columns(spark: SparkSession, path: str) -> T.StructType:
+    """The columns of all files of this library, by their footers; none if there are no files."""
+    reader = spark.read.option("basePath", path).option("pathGlobFilter", OWN_FILES)
+    try:
+        return reader.option("mergeSchema", True).parquet(path).schema
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return T.StructType([])
+
+
+def united(*schemas: T.StructType) -> T.StructType:
+    """All columns by name, each with its first type."""
+    fields: dict[str, T.StructField] = {}
+    for field in (f for schema in schemas for f in schema.fields):
+        fields.setdefault(field.name.lower(), field)
+    return T.StructType(list(fields.values()))
+
+
 def scan_raw_mixed(spark: SparkSession, root: str, dataset: Dataset) -> DataFrame:
     """The raw zone of one dataset, whoever wrote its files.
 
-    Files of this library are told by their names and read with the declared schema, without their
-    footers. Other files, whose dates may be nanoseconds, are read apart with the columns of all of
+    Files of this library are told by their names and read with the declared schema and the columns
+    that were recorded when they were written, without their footers; a raw zone without a record has
+    its footers read. Other files, whose dates may be nanoseconds, are read apart with the columns of all of
     them. Dates become timestamps; columns are united by name; columns that no file has are NULL. A
     dataset that never arrived is an empty relation.
     """
@@ -94,7 +130,8 @@ def scan_raw_mixed(spark: SparkSession, root: str, dataset: Dataset) -> DataFram
         return spark.read.option("basePath", path).option("pathGlobFilter", glob)
 
     try:
-        own = files(OWN_FILES).schema(dataset.raw_schema).parquet(path)
+        late = recorded_columns(spark, path) or own_columns(spark, path)
+        own = files(OWN_FILES).schema(united(dataset.raw_schema, late)).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -127,7 +164,8 @@ def load_seed(spark: SparkSession, path: str) -> DataFrame:
 def register_sources(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """All raw datasets below ``root``, also as temp views under their names.
 
-    Footers are only read of files that other writers left; a dataset without files is empty.
+    Columns that deliveries added later are among theirs. Footers are only read of files that other
+    writers left, and of raw zones without recorded columns; a dataset without files is empty.
     """
     frames = {name: scan_raw_mixed(spark, root, dataset) for name, dataset in DATASETS.items()}
     for name, df in frames.items():

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kedai.sources.datasets import DATE_COLUMN, Dataset
+from kedai.sources.readers import COLUMNS, own_columns, recorded_columns, united
 
 # Date patterns of the period columns (fixed values).
 PERIOD_FORMAT = {"year": "yyyy", "month": "MM", "day": "dd"}
@@ -30,6 +31,20 @@ def with_periods(df: DataFrame, dataset: Dataset) -> DataFrame:
     )
 
 
+def record_columns(df: DataFrame, path: str) -> None:
+    """Add the columns of rows that will be written to those recorded beside their dataset.
+
+    They are recorded before the write, so no file has a column without a record. The first record of
+    a raw zone takes the columns of the files that are already there.
+    """
+    spark = df.sparkSession
+    known = recorded_columns(spark, path)
+    columns = united(known or own_columns(spark, path), df.schema)
+    if known is None or len(columns) > len(known):
+        row = spark.range(1).select(F.lit(columns.json()).alias("columns"))
+        row.write.mode("append").json(f"{path}/{COLUMNS}")
+
+
 def write_raw(df: DataFrame, root: str, dataset: Dataset) -> str:
     """Replace the periods present in ``df``; other periods stay as they are.
 
@@ -37,6 +52,7 @@ def write_raw(df: DataFrame, root: str, dataset: Dataset) -> str:
     series, so that the filter of staging skips pages and row groups.
     """
     path = os.path.join(root, dataset.name)
+    record_columns(df, path)
     order = [*dataset.periods, *({dataset.series} & set(df.columns))]
     (
         with_periods(df, dataset)

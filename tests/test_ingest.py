@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from kedai.operators import ingest
 from kedai.operators.staging import stg_fuelprice, stg_iowrt_3d
 from kedai.plans.ingest_job import ingest as ingest_all
+from kedai.session import remove_path
 from kedai.sources import readers, sinks
 from kedai.sources.datasets import FUELPRICE, IOWRT, IOWRT_3D
 
@@ -242,6 +243,24 @@ def test_mixed_writers_in_one_raw_zone(spark, tmp_path):
     assert readers.scan_raw_mixed(spark, str(tmp_path), IOWRT).isEmpty()
 
 
+@pytest.mark.parametrize("recorded", [True, False])
+def test_late_columns_reach_the_sources(spark, tmp_path, recorded):
+    days = [("abs", dt.date(2020, m, 1), "471", 1.0, 5.0) for m in (1, 2, 3)]
+    rows = ingest.prepare(trade(spark, days), IOWRT_3D).withColumn("outlets", F.month("ymd_date"))
+    month, root = F.month("ymd_date"), str(tmp_path)
+    sinks.write_raw(rows.where(month == 1).drop("outlets"), root, IOWRT_3D)
+    sinks.write_raw(rows.where(month == 2), root, IOWRT_3D)
+    if not recorded:  # a raw zone from before columns were recorded
+        remove_path(spark, f"{root}/iowrt_3d/{readers.COLUMNS}")
+    sinks.write_raw(rows.where(month == 3).drop("outlets"), root, IOWRT_3D)
+    if not recorded:
+        remove_path(spark, f"{root}/iowrt_3d/{readers.COLUMNS}")
+    source = readers.register_sources(spark, root)["iowrt_3d"]
+    for df in (source, spark.table("iowrt_3d")):
+        assert [r.outlets for r in df.orderBy("ymd_date").collect()] == [None, 2, None]
+    assert source.columns == [*IOWRT_3D.schema.names, "outlets", *IOWRT_3D.periods]
+
+
 def test_longs_are_dates_only_where_declared(spark):
     with pytest.raises(ingest.DatasetSkipped, match="bigint"):
         ingest.prepare(trade(spark, [("abs", 1489536000000000000, "471", 1.0, 1.0)], "bigint"), IOWRT_3D)
