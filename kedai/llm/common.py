@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from kedai.session import work_path
 
-# Rows of one Arrow batch: texts may be long, so a batch holds fewer rows than the default.
+# Rows and bytes of one Arrow batch: texts may be long, so a batch holds less than by default.
 BATCH_ROWS = 1000
+BATCH_BYTES = 8 << 20
 
 WORD_SPACE = "\\x20\\x09-\\x0D"
 
@@ -22,10 +23,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Hand Python tasks at most ``BATCH_ROWS`` rows at a time."""
+    """Hand Python tasks at most ``BATCH_ROWS`` rows at a time, of about ``BATCH_BYTES`` bytes."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def store(df: DataFrame, name: str) -> DataFrame:

@@ -30,18 +30,44 @@ END_ID = 0
 RUN, RUNS = 100, 100
 
 
+# Bytes that each of an encoder's two look-up tables may take, and what an entry takes beside its
+# characters and ids. Longer units are encoded every time.
+TABLE_BYTES, ENTRY_BYTES, UNIT_CHARACTERS = 1 << 24, 200, 256
+
+
+class Table(dict):
+    """Ids by unit, emptied when its entries take more than ``limit`` bytes."""
+
+    def __init__(self, limit: int, fixed: dict[str, bytes]):
+        super().__init__(fixed)
+        self._limit, self._fixed, self._taken = limit, fixed, 0
+
+    def learn(self, unit: str, ids: bytes) -> None:
+        if len(unit) > UNIT_CHARACTERS:
+            return
+        taken = 4 * len(unit) + len(ids) + ENTRY_BYTES
+        if self._taken + taken > self._limit:
+            self.clear()
+            self.update(self._fixed)
+            self._taken = 0
+        self[unit] = ids
+        self._taken += taken
+
+
 class Encoder:
     """Encodes texts; units met before are looked up instead of being encoded again.
 
-    The look-up tables are bounded by ``limit`` units and emptied when full.
+    Each of the two look-up tables takes at most ``limit`` bytes.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = TABLE_BYTES):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        # Literals of added tokens are cut out of a text before anything else is split.
+        literals = [token.content for token in self._tokenizer.get_added_tokens_decoder().values()]
+        self._added = "|".join(map(re.escape, literals))
         vocabulary = self._tokenizer.get_vocab()
         top = max(vocabulary.values()) + 1
         self._kind = np.dtype("<u4" if top > 1 << 16 else "<u2")
@@ -49,10 +75,8 @@ class Encoder:
         self._bytes = np.zeros(top, dtype=np.int64)
         for name, number in vocabulary.items():
             self._bytes[number] = len(name)
-        self._limit = limit
-        self._fixed = {"": b"", "\n": self._ids("\n")}
-        self._words: dict[str, bytes] = dict(self._fixed)
-        self._units: dict[str, bytes] = {}
+        self._words = Table(limit, {"": b"", "\n": self._ids("\n")})
+        self._units = Table(limit, {})
 
     def _ids(self, text: str) -> bytes:
         ids = self._tokenizer.encode(text, add_special_tokens=False).ids
@@ -74,26 +98,32 @@ class Encoder:
             stops = np.searchsorted(np.cumsum(self._bytes[ids]), ends, side="right")
             raw, stops = ids.tobytes(), (stops * self._kind.itemsize).tolist()
             out += [raw[a:b] for a, b in zip([0, *stops], stops, strict=False)]
-        if len(self._words) > self._limit:
-            self._words.clear()
-            self._words |= self._fixed
-        self._words.update(zip(words, out, strict=True))
+        for word, ids in zip(words, out, strict=True):
+            self._words.learn(word, ids)
         return out
 
     def encode(self, text: str) -> np.ndarray:
-        """Ids of one text of any form, without an end id, as unsigned integers."""
+        """Ids of one text of any form, without an end id, as unsigned integers.
+
+        A text with the literal of an added token is encoded in one piece.
+        """
+        if self._added and re.search(self._added, text):
+            return np.frombuffer(self._ids(text), dtype=self._kind)
         units = _UNIT.findall(text)
-        if len(self._units) > self._limit // 10:
-            self._units.clear()
-        for unit in set(units).difference(self._units):
-            self._units[unit] = self._ids(unit)
-        return np.frombuffer(b"".join(map(self._units.__getitem__, units)), dtype=self._kind)
+        known = {unit: self._units.get(unit) for unit in set(units)}
+        for unit, ids in known.items():
+            if ids is None:
+                known[unit] = ids = self._ids(unit)
+                self._units.learn(unit, ids)
+        return np.frombuffer(b"".join(map(known.__getitem__, units)), dtype=self._kind)
 
     def documents(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of every text as ``<u4``, closed by the end id; a null text is an empty one."""
         texts = pc.fill_null(texts, "")
         uneven = pc.match_substring_regex(texts, _UNEVEN).to_numpy(zero_copy_only=False)
         uneven &= pc.binary_length(texts).to_numpy(zero_copy_only=False) > 0
+        if self._added:
+            uneven |= pc.match_substring_regex(texts, self._added).to_numpy(zero_copy_only=False)
         even = pc.if_else(pa.array(uneven), "", texts)
         out = self._even(even)
         for at in np.flatnonzero(uneven):

@@ -42,7 +42,6 @@ def encoder(tokenizer):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(tokenizer)
-    plain.encode_special_tokens = True
     return lambda text: plain.encode(text or "", add_special_tokens=False).ids + [0]
 
 

@@ -129,7 +129,6 @@ def encoded(texts, tokenizer):
     from tokenizers import Tokenizer
 
     encoder = Tokenizer.from_file(tokenizer)
-    encoder.encode_special_tokens = True
     return {
         doc: np.array(encoder.encode(text, add_special_tokens=False).ids + [0], dtype="<u4")
         for doc, text in texts.items()
