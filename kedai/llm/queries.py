@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kedai.llm import ann, chat, decontaminate, licenses, neardup, packing, pii, planes, quality, substring
+from kedai.llm import (
+    ann,
+    chat,
+    decontaminate,
+    jaccard,
+    licenses,
+    neardup,
+    packing,
+    pii,
+    planes,
+    quality,
+    ranking,
+    substring,
+    whitening,
+)
 from kedai.llm.common import read_table
 from kedai.session import work_path
 
@@ -99,6 +113,25 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 32 whitened components of every embedding."""
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 documents that rank highest for every benchmark item."""
+    docs, benchmark = (read_table(spark, sf_dir, name) for name in ("documents", "benchmark"))
+    return ranking.rank(docs, benchmark)
+
+
+@query
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of 3-word shingles have 90 hundredths in common."""
+    return jaccard.join_groups(read_table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 # Pairs that share a shingle, counted shingle by shingle, then closed over links: small inputs only.
 OP5_SQL = r"""
 WITH RECURSIVE words AS (
@@ -210,6 +243,39 @@ SELECT d.doc_id, len(words) AS n_words, coalesce(g.n, 0) AS n_removed,
 FROM docs d LEFT JOIN gone g ON d.row = g.row
 """
 
+# Scores of every item and document that share a term.
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents
+), wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), whole AS (
+  SELECT count(*) FILTER (len(terms) > 0) AS documents, CAST(sum(len(terms)) AS BIGINT) AS all_terms FROM docs
+), counts AS (
+  SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM docs)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * documents + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counts, whole GROUP BY term, documents
+), norms AS (
+  SELECT row, doc_id, 50 + (50 * len(terms) * documents) // all_terms AS m FROM docs, whole WHERE len(terms) > 0
+), scores AS (
+  SELECT item_id, row, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM wanted JOIN counts USING (term) JOIN weights USING (term) JOIN norms USING (row) GROUP BY ALL
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM scores WHERE score > 0
+) WHERE rank <= 50
+"""
+
+# The links of OP5_SQL at another threshold.
+OP13_SQL = OP5_SQL.replace("100 * s.n >= 85 *", "100 * s.n >= 90 *").replace(", d.doc_id = m.c AS kept", "")
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -217,4 +283,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_near_duplicates": OP5_SQL,
         "op6_chat_snapshots": OP6_SQL,
         "op9_substring_dedup": OP9_SQL,
+        "op12_ranked_search": OP12_SQL,
+        "op13_jaccard_join": OP13_SQL,
     }
