@@ -15,7 +15,7 @@ import logging
 import sys
 
 from kedai.plans.daily import ChecksFailed, run_daily
-from kedai.plans.ingest_job import FAILED
+from kedai.plans.ingest_job import FAILED, PARTIAL
 from kedai.session import build_session
 from kedai.sources.datasets import DATASETS
 
@@ -67,7 +67,7 @@ def main(arguments: list[str]) -> int:
     for row in results:
         logger.info("%s", row)
     failed = any(r.status == "fail" for r in results)
-    return 1 if failed or not audit.where(audit["status"] == FAILED).isEmpty() else 0
+    return 1 if failed or not audit.where(audit["status"].isin(FAILED, PARTIAL)).isEmpty() else 0
 
 
 if __name__ == "__main__":

@@ -16,9 +16,9 @@ from kedai.operators import ingest, intermediate, joins, quality, staging
 from kedai.plans import analytics, marts
 from kedai.plans.daily import build_star
 from kedai.plans.ingest_job import ingest as ingest_all
-from kedai.plans.ingest_job import written_periods
+from kedai.plans.ingest_job import ingest_with_outcomes, written_periods
 from kedai.session import prepare, work_path
-from kedai.sources import readers, sinks
+from kedai.sources import periods, readers, sinks
 from kedai.sources.datasets import DATASETS, FUELPRICE, IOWRT, IOWRT_3D
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,8 @@ _QUERIES: dict[str, Query] = {}
 SUBSET_MONTH = "1998-07-01"
 OVERWRITTEN_MONTH = "1997-03-01"
 SCHEMA_CHANGE = "1998-01-01"
+TYPE_CHANGES = ("1997-01-01", "1998-01-01")
+BLOCKED_YEAR = "1997"
 FILTER_FIRST, FILTER_LAST = (1997, 11), (1999, 2)
 FILTER_GROUPS = ["Brand#11", "Brand#13", "Brand#42"]
 
@@ -172,6 +174,35 @@ def scan_raw_mixed_dates(spark, sf_dir):
     return _zoneless(readers.scan_raw_mixed(spark, root, FUELPRICE))
 
 
+def _retyped(rows: DataFrame) -> list[DataFrame]:
+    """Deliveries of a column first as whole numbers, then as decimals, then as text."""
+    first, second = TYPE_CHANGES
+    whole, day = F.col("volume").cast("int"), F.col("ymd_date")
+    early = rows.where(day < first).withColumns({"outlets": whole, "volume": whole})
+    middle = rows.where((day >= first) & (day < second)).withColumn("outlets", F.col("volume") / 4)
+    late = rows.where(day >= second).withColumn("outlets", F.concat(F.lit("n"), whole.cast("string")))
+    return [early, middle, late]
+
+
+@query
+def scan_raw_type_change(spark, sf_dir):
+    """Deliveries whose columns change their types, read in types that hold all of them."""
+    root = _raw_root(spark)
+    rows = ingest.prepare(fx.as_landing(fx.trade_lines(spark, sf_dir)), IOWRT_3D)
+    for delivery in _retyped(rows):
+        sinks.write_raw(delivery, root, IOWRT_3D)
+    return _zoneless(readers.scan_raw_mixed(spark, root, IOWRT_3D))
+
+
+@query
+def scan_landing_type_change(spark, sf_dir):
+    """One delivery whose files disagree on the types of their columns."""
+    path = work_path(spark, "landing-types")
+    for rows in _retyped(fx.trade_lines(spark, sf_dir)):
+        rows.write.mode("append").parquet(path)
+    return readers.scan_landing(spark, path)
+
+
 def _rename_files(spark, path, name):
     """Give the files below a path names as another writer would."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -310,6 +341,34 @@ def ingest_audit_periods(spark, sf_dir):
     return written_periods(spark, root)
 
 
+@query
+def ingest_period_outcomes(spark, sf_dir):
+    """The periods of one year can't be put in place; the others arrive."""
+    root = _raw_root(spark)
+    landing = {IOWRT_3D.name: _land(fx.trade_lines(spark, sf_dir), IOWRT_3D.name)}
+    _block(spark, f"{root}/{IOWRT_3D.name}/year={BLOCKED_YEAR}")
+    _, outcomes = ingest_with_outcomes(spark, landing, root)
+    return outcomes.select("dataset", "period", "status", "n_rows", "attempts")
+
+
+def _block(spark, path):
+    """Put a file where a folder will be wanted."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.create(target).close()
+
+
+@query
+def raw_write_changed(spark, sf_dir):
+    """The same delivery again but for one month, which alone is written."""
+    root = _raw_root(spark)
+    rows = ingest.prepare(fx.as_landing(fx.trade_lines(spark, sf_dir)), IOWRT_3D)
+    sinks.deliver(rows, root, IOWRT_3D, only_changed=True)
+    doubled = F.when(F.col("ymd_date") == OVERWRITTEN_MONTH, F.col("sales") * 2).otherwise(F.col("sales"))
+    again = sinks.deliver(rows.withColumn("sales", doubled), root, IOWRT_3D, only_changed=True)
+    return periods.outcomes_frame(spark, again).select("dataset", "period", "status", "n_rows")
+
+
 @query
 def ingest_status(spark, sf_dir):
     """One dataset lacks its date column and one was not delivered; the other arrives."""

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from kedai.operators.ingest import DatasetSkipped, prepare, sample_dates
 from kedai.session import prepare as prepare_session
 from kedai.sources.datasets import DATASETS, Dataset
+from kedai.sources.periods import FAILED, WRITTEN, Outcome, outcomes_frame
 from kedai.sources.readers import scan_landing, scan_raw_mixed
-from kedai.sources.sinks import write_raw
+from kedai.sources.sinks import deliver
 
 logger = logging.getLogger(__name__)
 
@@ -23,35 +24,42 @@ AUDIT_SCHEMA = (
     "rows_failed bigint, rows_dropped bigint, message string"
 )
 
-WRITTEN = "written"
-SKIPPED = "skipped"
-FAILED = "failed"
+SKIPPED, PARTIAL = "skipped", "partial"
 
 
-def ingest_dataset(spark: SparkSession, name: str, path: str, raw_root: str) -> tuple:
-    """One audit row.
+def ingest_dataset(
+    spark: SparkSession, name: str, path: str, raw_root: str, only_changed: bool = False
+) -> tuple[tuple, list[Outcome]]:
+    """One audit row, and the outcome of each of the dataset's periods.
 
-    Rows are counted while the one write runs: those read, and those with a date on their way to
-    the files. After a failed write the rows are counted again, as far as the delivery can be read.
+    Rows read are counted while the one write runs, rows written and failed from the files of each
+    period. After a write that failed as a whole the rows are counted again, as far as the delivery can
+    be read.
     """
     dataset = DATASETS[name]
-    seen, dated = Observation(), Observation()
+    seen = Observation()
     landing = None
     try:
         landing = scan_landing(spark, path)
         rows = prepare(landing.observe(seen, F.count(F.lit(1)).alias("n")), dataset)
         if logger.isEnabledFor(logging.DEBUG):
             logger.debug("%s: dates like %s", name, sample_dates(prepare(landing, dataset)).collect())
-        write_raw(rows.observe(dated, F.count(F.lit(1)).alias("n")), raw_root, dataset)
+        found = deliver(rows, raw_root, dataset, only_changed)
     except DatasetSkipped as reason:
         logger.warning("%s", reason)
-        return name, SKIPPED, landing.count(), 0, 0, 0, str(reason)
+        return (name, SKIPPED, landing.count(), 0, 0, 0, str(reason)), []
     except Exception as error:  # noqa: BLE001 - one dataset must not stop the others
         logger.error("%s: %s", name, error)
         reason = f"{type(error).__name__}: {error}".splitlines()[0]
-        return name, FAILED, *_failed_counts(landing, dataset), reason
-    read, written = _observed(seen, landing), _observed(dated, rows)
-    return name, WRITTEN, read, written, 0, read - written, None
+        return (name, FAILED, *_failed_counts(landing, dataset), reason), []
+    failed = [outcome for outcome in found if outcome.status == FAILED]
+    lost = sum(outcome.n_rows for outcome in failed)
+    written = sum(outcome.n_rows for outcome in found) - lost
+    # Change detection reads the delivery apart, so what was seen then is no count of it.
+    read = landing.count() if only_changed else _observed(seen, landing)
+    status = WRITTEN if not failed else FAILED if len(failed) == len(found) else PARTIAL
+    message = f"{len(failed)} of {len(found)} periods failed: {failed[0].message}" if failed else None
+    return (name, status, read, written, lost, read - written - lost, message), found
 
 
 def _observed(counter: Observation, df: DataFrame) -> int:
@@ -83,11 +91,21 @@ def written_periods(spark: SparkSession, raw_root: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-def ingest(spark: SparkSession, landing: Mapping[str, str], raw_root: str) -> DataFrame:
-    """Ingest the given datasets (name -> landing path); returns the audit relation.
+def ingest(
+    spark: SparkSession, landing: Mapping[str, str], raw_root: str, only_changed: bool = False
+) -> DataFrame:
+    """Ingest the given datasets (name -> landing path); returns the audit relation."""
+    return ingest_with_outcomes(spark, landing, raw_root, only_changed)[0]
 
-    A period is replaced when its files are moved in place, one period after the other, so a failure
-    in the middle of that leaves some periods new and others old; a second run mends it.
+
+def ingest_with_outcomes(
+    spark: SparkSession, landing: Mapping[str, str], raw_root: str, only_changed: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """The audit relation, and one row for each delivered period: its status, rows, files, attempts.
+
+    A period is replaced as a whole or keeps its old files; one that fails stops no other. A second
+    run mends what failed. With ``only_changed`` periods that are delivered again as they are in
+    place are told by a digest of their rows and not written.
 
     The datasets share no files, so their jobs run side by side: one can use the cluster
     while another moves its finished files in place.
@@ -95,9 +113,10 @@ def ingest(spark: SparkSession, landing: Mapping[str, str], raw_root: str) -> Da
 
     prepare_session(spark)
 
-    def run(item: tuple[str, str]) -> tuple:
-        return ingest_dataset(spark, *item, raw_root)
+    def run(item: tuple[str, str]) -> tuple[tuple, list[Outcome]]:
+        return ingest_dataset(spark, *item, raw_root, only_changed)
 
     with ThreadPoolExecutor(max_workers=max(1, len(landing))) as pool:
         rows = list(pool.map(run, landing.items()))
-    return spark.createDataFrame(rows, AUDIT_SCHEMA)
+    audit = spark.createDataFrame([row for row, _ in rows], AUDIT_SCHEMA)
+    return audit, outcomes_frame(spark, [outcome for _, found in rows for outcome in found])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,13 +13,26 @@ from pyspark.sql import types as T
 
 from kedai.functions.dates import as_timestamp
 from kedai.sources.datasets import DATASETS, DATE_COLUMN, SEED_COLUMNS, Dataset
+from kedai.sources.reconcile import (
+    READ_ERRORS,
+    as_types,
+    groups,
+    mismatch,
+    readable_together,
+    scan_by_types,
+    union_all,
+    united,
+)
 
 # Width of the zero-padded period directories (fixed values).
 PERIOD_WIDTH = {"year": 4, "month": 2, "day": 2}
 
-# Names of the files that Spark writes, and all others.
+# Names of the files that this library writes, and all others. After "part-" comes the name of a
+# file's columns, or a number in files from before columns had names.
 OWN_FILES = "part-*"
 OTHER_FILES = "{[!p]*,p[!a]*,pa[!r]*,par[!t]*,part[!-]*}"
+LEGACY, LEGACY_FILES = "", "part-[0-9]*"
+NAMED_FILE = re.compile(r"/part-(s[0-9a-f]{8})-[^/]*$")
 
 # Folder beside a dataset's periods with the columns of its files; scans skip names like this.
 COLUMNS = "_columns"
@@ -27,9 +41,16 @@ COLUMNS = "_columns"
 def scan_landing(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
-    """Parquet as delivered. Without ``schema`` the columns are those of all its files."""
-    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", True)
-    return reader.parquet(path)
+    """Parquet as delivered. Without ``schema`` the columns are those of all its files, each in the
+    common type of its types."""
+    if schema:
+        return spark.read.schema(schema).parquet(path)
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except READ_ERRORS as error:
+        if not mismatch(error):
+            raise
+        return scan_by_types(spark, path)
 
 
 def _csv_reader(spark: SparkSession, multi_line: bool):
@@ -84,69 +105,127 @@ def scan_raw(
     return df.withColumns(padded | absent)
 
 
-def recorded_columns(spark: SparkSession, path: str) -> T.StructType | None:
-    """The columns that ``sinks.write_raw`` recorded beside a dataset; nothing in older raw zones."""
+def recorded_schemas(spark: SparkSession, path: str) -> dict[str, T.StructType | None] | None:
+    """The columns that ``sinks.deliver`` recorded beside a dataset, by the name its files carry;
+    None in raw zones without a record. Files from before that are under ``LEGACY``, with None if
+    their records disagree on a type."""
     try:
-        rows = spark.read.schema("columns string").json(f"{path}/{COLUMNS}").collect()
+        rows = spark.read.schema("id string, columns string").json(f"{path}/{COLUMNS}").collect()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    kinds = [T.StructType.fromJson(json.loads(row.columns)) for row in rows]
-    return united(*kinds) if kinds else None
+    found: dict[str, T.StructType | None] = {}
+    for row in rows:
+        key, schema = row.id or LEGACY, T.StructType.fromJson(json.loads(row.columns))
+        held = found.get(key, schema)
+        found[key] = united(held, schema) if held and readable_together(held, schema) else None
+    return found
 
 
-def own_columns(spark: SparkSession, path: str) -> T.StructType:
-    """The columns of all files of this library, by their footers; none if there are no files."""
-    reader = spark.read.option("basePath", path).option("pathGlobFilter", OWN_FILES)
+def schemas_by_footers(spark: SparkSession, path: str) -> dict[str, T.StructType | None]:
+    """The columns of all files of this library by the name they carry, from their footers; none if
+    there are no files, and None for files of one name that disagree on a type."""
     try:
-        return reader.option("mergeSchema", True).parquet(path).schema
+        files = spark.read.option("pathGlobFilter", OWN_FILES).parquet(path).inputFiles()
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return T.StructType([])
+        return {}
+    names = {found[1] if (found := NAMED_FILE.search(file)) else LEGACY for file in files}
+    return {name: _merged(spark, path, _files_of([name])) for name in sorted(names)}
+
+
+def _merged(spark: SparkSession, path: str, glob: str) -> T.StructType | None:
+    try:
+        return spark.read.option("mergeSchema", True).option("pathGlobFilter", glob).parquet(path).schema
+    except READ_ERRORS as error:
+        if not mismatch(error):
+            raise
+        return None
 
 
-def united(*schemas: T.StructType) -> T.StructType:
-    """All columns by name, each with its first type."""
-    fields: dict[str, T.StructField] = {}
-    for field in (f for schema in schemas for f in schema.fields):
-        fields.setdefault(field.name.lower(), field)
-    return T.StructType(list(fields.values()))
+def _files_of(names: list[str]) -> str:
+    globs = [f"part-{name}-*" if name else LEGACY_FILES for name in names]
+    return globs[0] if len(globs) == 1 else "{" + ",".join(globs) + "}"
 
 
-def scan_raw_mixed(spark: SparkSession, root: str, dataset: Dataset) -> DataFrame:
-    """The raw zone of one dataset, whoever wrote its files.
+def scan_own(spark: SparkSession, path: str, dataset: Dataset) -> DataFrame:
+    """The files of this library below ``path``, whatever types their columns had over time.
 
-    Files of this library are told by their names and read with the declared schema and the columns
-    that were recorded when they were written, without their footers; a raw zone without a record has
-    its footers read. Other files, whose dates may be nanoseconds, are read apart with the columns of all of
-    them. Dates become timestamps; columns are united by name; columns that no file has are NULL. A
-    dataset that never arrived is an empty relation.
+    Files whose recorded types agree are one scan without footer reads; each further set of types is a
+    scan of its own, and all are widened to the common types. Declared columns come first, then those
+    that deliveries added, then the period columns.
     """
-    path = os.path.join(root, dataset.name)
+    schemas = recorded_schemas(spark, path)
+    if schemas is None:
+        schemas = schemas_by_footers(spark, path)
+    known = {name: _without(schema, dataset.periods) for name, schema in schemas.items() if schema}
+    together = groups(known)
+    target = united(dataset.schema, *known.values())
+    period_fields = dataset.raw_schema.fields[len(dataset.schema.fields) :]
+    untyped = [name for name, schema in schemas.items() if not schema]
+    based = spark.read.option("basePath", path)
+    if len(together) <= 1 and not untyped and readable_together(target, united(dataset.schema)):
+        if not together or readable_together(together[0][1], dataset.schema):
+            whole = T.StructType([*target.fields, *period_fields])
+            return based.option("pathGlobFilter", OWN_FILES).schema(whole).parquet(path)
+    frames = []
+    for names, schema in together:
+        fields = T.StructType([*schema.fields, *period_fields])
+        frames.append(based.option("pathGlobFilter", _files_of(names)).schema(fields).parquet(path))
+    frames += [scan_by_types(spark, path, _files_of([name])) for name in untyped]
+    target = united(target, *(_without(df.schema, dataset.periods) for df in frames))
+    return union_all(map(_padded(dataset), frames), T.StructType([*target.fields, *period_fields]))
+
+
+def _without(schema: T.StructType, names: tuple[str, ...]) -> T.StructType:
+    return T.StructType([f for f in schema.fields if f.name not in names])
+
+
+def _padded(dataset: Dataset):
+    """Period columns as zero-padded text, however they were read."""
+    columns = {p: F.lpad(F.col(p).cast("string"), PERIOD_WIDTH[p], "0") for p in dataset.periods}
+
+    def pad(df: DataFrame) -> DataFrame:
+        text = {p: c for p, c in columns.items() if not isinstance(df.schema[p].dataType, T.StringType)}
+        return df.withColumns(text) if text else df
+
+    return pad
+
 
-    def files(glob: str):
-        return spark.read.option("basePath", path).option("pathGlobFilter", glob)
+def scan_raw_mixed(spark: SparkSession, root: str, dataset: Dataset) -> DataFrame:
+    """The raw zone of one dataset, whoever wrote its files and whatever types their columns had.
 
+    Files of this library are told by their names, see ``scan_own``. Other files, whose dates may be
+    nanoseconds, are read apart with the columns of all of them. Dates become timestamps; columns are
+    united by name in the common type of their types; columns that no file has are NULL. A dataset that
+    never arrived is an empty relation.
+    """
+    path = os.path.join(root, dataset.name)
     try:
-        late = recorded_columns(spark, path) or own_columns(spark, path)
-        own = files(OWN_FILES).schema(united(dataset.raw_schema, late)).parquet(path)
+        own = scan_own(spark, path, dataset)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], dataset.raw_schema)
+    reader = spark.read.option("basePath", path).option("pathGlobFilter", OTHER_FILES)
     try:
-        other = files(OTHER_FILES).option("mergeSchema", True).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+        other = reader.option("mergeSchema", True).parquet(path)
+    except READ_ERRORS as error:
+        if "UNABLE_TO_INFER_SCHEMA" in str(error):
+            return own
+        if not mismatch(error):
             raise
-        return own
+        other = scan_by_types(spark, path, OTHER_FILES)
     date = as_timestamp(F.col(DATE_COLUMN), other.schema[DATE_COLUMN].dataType)
-    padded = {p: F.lpad(F.col(p).cast("string"), PERIOD_WIDTH[p], "0") for p in dataset.periods}
-    return own.unionByName(
-        other.withColumns({DATE_COLUMN: date} | padded), allowMissingColumns=True
-    )
+    other = _padded(dataset)(other.withColumn(DATE_COLUMN, date))
+    target = united(own.schema, other.schema)
+    late = [f for f in target.fields if f.name not in dataset.raw_schema.names]
+    if not late and own.schema == target:
+        return own.unionByName(as_types(other, target))
+    order = [*_without(target, dataset.periods).fields, *(f for f in target.fields if f.name in dataset.periods)]
+    return union_all([own, other], T.StructType(order))
 
 
 def load_seed(spark: SparkSession, path: str) -> DataFrame:

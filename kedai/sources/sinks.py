@@ -12,8 +12,11 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kedai.sources import periods
 from kedai.sources.datasets import DATE_COLUMN, Dataset
-from kedai.sources.readers import COLUMNS, own_columns, recorded_columns, united
+from kedai.sources.periods import Outcome
+from kedai.sources.readers import COLUMNS, recorded_schemas, schemas_by_footers
+from kedai.sources.reconcile import schema_id
 
 # Date patterns of the period columns (fixed values).
 PERIOD_FORMAT = {"year": "yyyy", "month": "MM", "day": "dd"}
@@ -31,41 +34,75 @@ def with_periods(df: DataFrame, dataset: Dataset) -> DataFrame:
     )
 
 
-def record_columns(df: DataFrame, path: str) -> None:
-    """Add the columns of rows that will be written to those recorded beside their dataset.
+def record_columns(df: DataFrame, path: str) -> str:
+    """Record the columns and types of rows that will be written beside their dataset, under a name
+    that their files carry; returns the name.
 
-    They are recorded before the write, so no file has a column without a record. The first record of
+    They are recorded before the write, so no file has columns without a record. The first record of
     a raw zone takes the columns of the files that are already there.
     """
     spark = df.sparkSession
-    known = recorded_columns(spark, path)
-    columns = united(known or own_columns(spark, path), df.schema)
-    if known is None or len(columns) > len(known):
-        row = spark.range(1).select(F.lit(columns.json()).alias("columns"))
-        row.write.mode("append").json(f"{path}/{COLUMNS}")
-
-
-def write_raw(df: DataFrame, root: str, dataset: Dataset) -> str:
-    """Replace the periods present in ``df``; other periods stay as they are.
+    known = recorded_schemas(spark, path)
+    name = schema_id(df.schema)
+    found = schemas_by_footers(spark, path) if known is None else {}
+    fresh = found | {name: df.schema}
+    rows = [(key or None, schema.json()) for key, schema in fresh.items() if schema and key not in (known or {})]
+    if rows:
+        lines = spark.createDataFrame(rows, "id string, columns string").coalesce(1)
+        lines.write.mode("append").json(f"{path}/{COLUMNS}")
+    return name
+
+
+def deliver(
+    df: DataFrame, root: str, dataset: Dataset, only_changed: bool = False
+) -> list[Outcome]:
+    """Replace the periods present in ``df``, each by itself; other periods stay as they are.
+
+    Everything is written beside the raw zone first; then each period is moved in place with an
+    outcome of its own: rows counted from its files, attempts, and the reason if it failed, in which
+    case its old files stay. With ``only_changed`` periods whose rows are those in place are not written.
 
     Rows are sorted by period, as the partitioned writer would do anyway, and then by
     series, so that the filter of staging skips pages and row groups.
     """
+    spark = df.sparkSession
     path = os.path.join(root, dataset.name)
-    record_columns(df, path)
+    name = record_columns(df, path)
+    rows, fresh, kept = with_periods(df, dataset), {}, []
+    if only_changed:
+        rows, fresh, kept = periods.changed(spark, rows, path, dataset, name)
+        if fresh and len(kept) == len(fresh):
+            return kept
+    incoming = periods.incoming_path(root, dataset)
     order = [*dataset.periods, *({dataset.series} & set(df.columns))]
-    (
-        with_periods(df, dataset)
-        .hint("rebalance", *dataset.periods)
-        .sortWithinPartitions(*order)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "snappy")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy(*dataset.periods)
-        .parquet(path)
-    )
-    return path
+    try:
+        (
+            rows.hint("rebalance", *dataset.periods)
+            .sortWithinPartitions(*order)
+            .write.option("compression", "snappy")
+            .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+            .partitionBy(*dataset.periods)
+            .parquet(incoming)
+        )
+        found = periods.commit(spark, incoming, path, dataset, name)
+    finally:
+        periods.remove_incoming(spark, incoming)
+    done = {o.period for o in found if o.status == periods.WRITTEN}
+    if only_changed:
+        periods.record_digests(spark, path, {p: d for p, d in fresh.items() if p in done})
+    return sorted([*found, *kept], key=lambda outcome: outcome.period)
+
+
+class PeriodsFailed(Exception):
+    """Some periods of a delivery could not be put in place; the others were."""
+
+
+def write_raw(df: DataFrame, root: str, dataset: Dataset, only_changed: bool = False) -> str:
+    """``deliver`` where every period has to succeed; returns the dataset's folder."""
+    failed = [o for o in deliver(df, root, dataset, only_changed) if o.status == periods.FAILED]
+    if failed:
+        raise PeriodsFailed("; ".join(f"{o.period}: {o.message}" for o in failed))
+    return os.path.join(root, dataset.name)
 
 
 def publish(df: DataFrame, path: str) -> DataFrame:

@@ -8,6 +8,10 @@ _PADDED = "strftime(ymd_date, '%Y') AS year, strftime(ymd_date, '%m') AS month"
 _TRADE = "series, ymd_date, group_code, sales, volume"
 _STORED = "series, CAST(ymd_date AS TIMESTAMP) AS ymd_date, group_code, sales, volume"
 
+_OUTLETS = """CASE WHEN ymd_date < DATE '1997-01-01' THEN CAST(CAST(volume AS INTEGER) AS VARCHAR)
+    WHEN ymd_date < DATE '1998-01-01' THEN CAST(volume / 4 AS VARCHAR)
+    ELSE 'n' || CAST(CAST(volume AS INTEGER) AS VARCHAR) END"""
+
 
 def _growth(months: int) -> str:
     def percent(column: str) -> str:
@@ -171,6 +175,14 @@ QUERIES: dict[str, str] = {
                CASE WHEN ymd_date >= DATE '1998-01-01' THEN volume END AS volume, {_PADDED}
         FROM trade_lines
     """,
+    "scan_raw_type_change": f"""
+        SELECT series, CAST(ymd_date AS TIMESTAMP) AS ymd_date, group_code, sales, volume,
+               {_OUTLETS} AS outlets, {_PADDED}
+        FROM trade_lines
+    """,
+    "scan_landing_type_change": f"""
+        SELECT series, ymd_date, group_code, sales, volume, {_OUTLETS} AS outlets FROM trade_lines
+    """,
     "seed_csv": "SELECT * FROM seed_rows",
     # ingest
     "ingest_rename": f"SELECT {_TRADE} FROM trade_lines",
@@ -192,6 +204,20 @@ QUERIES: dict[str, str] = {
         UNION ALL
         SELECT 'iowrt_3d', strftime(ymd_date, '%Y-%m'), count(*) FROM trade_lines GROUP BY 2
     """,
+    "ingest_period_outcomes": """
+        SELECT 'iowrt_3d' AS dataset, strftime(ymd_date, '%Y-%m') AS period,
+               CASE WHEN year(any_value(ymd_date)) = 1997 THEN 'failed' ELSE 'written' END AS status,
+               count(*) AS n_rows,
+               CASE WHEN year(any_value(ymd_date)) = 1997 THEN 3 ELSE 1 END AS attempts
+        FROM trade_lines GROUP BY 2
+    """,
+    "raw_write_changed": """
+        SELECT 'iowrt_3d' AS dataset, strftime(ymd_date, '%Y-%m') AS period,
+               CASE WHEN strftime(ymd_date, '%Y-%m') = '1997-03' THEN 'written' ELSE 'unchanged' END
+                   AS status,
+               count(*) AS n_rows
+        FROM trade_lines GROUP BY 2, 3
+    """,
     "ingest_dropna": "SELECT * FROM fuel_parsed WHERE ymd_date IS NOT NULL",
     "distinct_periods": """
         SELECT DISTINCT 'iowrt' AS dataset, ymd_date AS period FROM raw_iowrt

@@ -5,12 +5,14 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kedai.operators import ingest
 from kedai.operators.staging import stg_fuelprice, stg_iowrt_3d
 from kedai.plans.ingest_job import ingest as ingest_all
+from kedai.plans.ingest_job import ingest_with_outcomes
 from kedai.session import remove_path
-from kedai.sources import readers, sinks
+from kedai.sources import periods, readers, reconcile, sinks
 from kedai.sources.datasets import FUELPRICE, IOWRT, IOWRT_3D
 
 
@@ -319,3 +321,193 @@ def test_ingest_in_another_time_zone(spark, tmp_path, conf):
     trade(spark, [("abs", dt.date(2017, 3, 1), "471", 1.0, 1.0)]).write.parquet(path)
     ingest_all(spark, {"iowrt_3d": path}, str(tmp_path / "raw"))
     assert os.listdir(tmp_path / "raw" / "iowrt_3d" / "year=2017") == ["month=03"]
+
+
+# --- columns that change their types ---------------------------------------------------------
+
+
+def _types(spark, root, dataset=IOWRT_3D):
+    return dict(readers.scan_raw_mixed(spark, root, dataset).dtypes)
+
+
+def test_common_types():
+    long, double, text = T.LongType(), T.DoubleType(), T.StringType()
+    for a, b, expected in [
+        (T.IntegerType(), long, long),
+        (T.ByteType(), T.ShortType(), T.ShortType()),
+        (T.IntegerType(), double, double),
+        (T.FloatType(), double, double),
+        (T.DecimalType(10, 2), T.IntegerType(), T.DecimalType(12, 2)),
+        (T.DecimalType(10, 2), T.DecimalType(6, 4), T.DecimalType(12, 4)),
+        (T.DecimalType(38, 2), T.DecimalType(38, 30), double),
+        (T.DecimalType(10, 2), double, double),
+        (T.DateType(), T.TimestampType(), T.TimestampType()),
+        (T.DateType(), T.TimestampNTZType(), T.TimestampNTZType()),
+        (T.BooleanType(), T.IntegerType(), text),
+        (T.DateType(), long, text),
+        (T.NullType(), long, long),
+        (long, text, text),
+    ]:
+        assert reconcile.common_type(a, b) == reconcile.common_type(b, a) == expected
+
+
+def test_a_column_that_changes_its_type_is_widened(spark, tmp_path):
+    """Whole numbers, then decimals, then text: every delivery stays readable after the next."""
+    rows = ingest.prepare(trade(spark, [("abs", dt.date(2020, m, 1), "471", 1.0, 5.0) for m in (1, 2, 3, 4)]), IOWRT_3D)
+    root, month = str(tmp_path), F.month("ymd_date")
+    extra = {1: (month, "int", ["1"]), 2: (month / 4, "double", ["1.0", "0.5"])}
+    extra[3] = (F.lit("three"), "string", ["1", "0.5", "three"])
+    for number, (value, kind, expected) in extra.items():
+        sinks.write_raw(rows.where(month == number).withColumn("extra", value), root, IOWRT_3D)
+        found = readers.scan_raw_mixed(spark, root, IOWRT_3D)
+        assert dict(found.dtypes)["extra"] == kind
+        assert [str(float(r.extra)) if kind != "string" else r.extra for r in found.orderBy("ymd_date").collect()] == [
+            str(float(e)) if kind != "string" else e for e in expected
+        ]
+    # A month that is delivered again with another type takes it along.
+    sinks.write_raw(rows.where(month == 3).withColumn("extra", F.lit(7)), root, IOWRT_3D)
+    found = readers.register_sources(spark, root)["iowrt_3d"]
+    assert found.columns == [*IOWRT_3D.schema.names, "extra", *IOWRT_3D.periods]
+    assert [r.extra for r in found.orderBy("ymd_date").collect()] == ["1", "0.5", "7"]
+    assert stg_iowrt_3d(found).count() == 3
+
+
+def test_a_declared_column_with_another_type(spark, tmp_path):
+    rows = ingest.prepare(trade(spark, [("abs", dt.date(2020, m, 1), "471", 1.0, 5.0) for m in (1, 2)]), IOWRT_3D)
+    root, month = str(tmp_path), F.month("ymd_date")
+    sinks.write_raw(rows.where(month == 1).withColumn("sales", F.lit(3)), root, IOWRT_3D)
+    assert _types(spark, root)["sales"] == "double"
+    sinks.write_raw(rows.where(month == 2).withColumn("sales", F.lit("2.5")), root, IOWRT_3D)
+    found = readers.scan_raw_mixed(spark, root, IOWRT_3D)
+    assert dict(found.dtypes)["sales"] == "string"
+    staged = stg_iowrt_3d(found).orderBy("record_date").collect()
+    assert [r.sales_value_rm_mil for r in staged] == [3.0, 2.5]
+
+
+def test_type_changes_in_a_zone_without_records(spark, tmp_path):
+    rows = ingest.prepare(trade(spark, [("abs", dt.date(2020, m, 1), "471", 1.0, 5.0) for m in (1, 2)]), IOWRT_3D)
+    root, month = str(tmp_path), F.month("ymd_date")
+    for number, kind in ((1, "int"), (2, "double")):
+        sinks.write_raw(rows.where(month == number).withColumn("extra", month.cast(kind)), root, IOWRT_3D)
+    folder = tmp_path / "iowrt_3d"
+    remove_path(spark, f"{folder}/{readers.COLUMNS}")
+    assert _types(spark, root)["extra"] == "double"
+    for file in list(folder.rglob("part-s*.parquet")):  # names from before columns had names
+        file.rename(file.with_name("part-00000-" + file.name.split("-", 2)[2]))
+    for crc in folder.rglob(".part-s*.crc"):
+        crc.unlink()
+    found = readers.scan_raw_mixed(spark, root, IOWRT_3D)
+    assert [r.extra for r in found.orderBy("ymd_date").collect()] == [1.0, 2.0]
+    assert [r.month for r in found.orderBy("ymd_date").collect()] == ["01", "02"]
+
+
+def test_foreign_and_landing_files_that_disagree(spark, tmp_path):
+    for number, extra in ((15, pa.array([1], pa.int32())), (16, pa.array([1.5]))):
+        folder = tmp_path / "fuelprice" / "year=2017" / "month=03" / f"day={number}"
+        folder.mkdir(parents=True)
+        nanos = pa.array([dt.datetime(2017, 3, number).timestamp() * 10**9], pa.float64()).cast(pa.int64())
+        rows = {"series_type": ["level"], "ymd_date": nanos.cast(pa.timestamp("ns")), "ron95": [2.0], "extra": extra}
+        pq.write_table(pa.table(rows), folder / f"fuelprice_{number}.parquet", version="2.6")
+    found = readers.scan_raw_mixed(spark, str(tmp_path), FUELPRICE)
+    assert sorted((r.day, r.extra) for r in found.collect()) == [("15", 1.0), ("16", 1.5)]
+    path = str(tmp_path / "in")
+    for value in (F.lit(1), F.lit("x")):
+        spark.range(1).select(value.alias("v")).write.mode("append").parquet(path)
+    assert sorted(r.v for r in readers.scan_landing(spark, path).collect()) == ["1", "x"]
+
+
+# --- outcomes of periods ---------------------------------------------------------------------
+
+
+def _months(spark, sales, months=(1, 2, 3)):
+    return ingest.prepare(trade(spark, [("abs", dt.date(2020, m, 1), "471", sales, 1.0) for m in months]), IOWRT_3D)
+
+
+def _sales(spark, root):
+    return [r.sales for r in readers.scan_raw_mixed(spark, root, IOWRT_3D).orderBy("ymd_date").collect()]
+
+
+def test_a_failing_period_stops_no_other(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    sinks.write_raw(_months(spark, 1.0), root, IOWRT_3D)
+    move, tried = periods.Store.move, []
+
+    def broken(store, old, new):
+        if "month=02" in new and "part-" in new:
+            tried.append(new)
+            raise OSError("no space")
+        return move(store, old, new)
+
+    monkeypatch.setattr(periods, "PAUSE_SECONDS", 0)
+    monkeypatch.setattr(periods.Store, "move", broken)
+    found = {o.period: o for o in sinks.deliver(_months(spark, 9.0), root, IOWRT_3D)}
+    assert {p: (o.status, o.n_rows, o.attempts) for p, o in found.items()} == {
+        "2020-01": ("written", 1, 1),
+        "2020-02": ("failed", 1, periods.ATTEMPTS),
+        "2020-03": ("written", 1, 1),
+    }
+    assert "no space" in found["2020-02"].message and len(tried) == periods.ATTEMPTS
+    monkeypatch.undo()
+    assert _sales(spark, root) == [9.0, 1.0, 9.0]
+    assert not list((tmp_path / periods.INCOMING).iterdir())
+    with pytest.raises(sinks.PeriodsFailed, match="2020-02"):
+        monkeypatch.setattr(periods.Store, "move", broken)
+        monkeypatch.setattr(periods, "PAUSE_SECONDS", 0)
+        sinks.write_raw(_months(spark, 5.0), root, IOWRT_3D)
+    monkeypatch.undo()
+    assert _sales(spark, root) == [5.0, 1.0, 5.0]
+
+
+def test_a_period_is_tried_again(spark, tmp_path, monkeypatch):
+    root, failures = str(tmp_path), [OSError("busy"), OSError("busy")]
+    move = periods.Store.move
+
+    def flaky(store, old, new):
+        if failures and "month=03" in new:
+            raise failures.pop()
+        return move(store, old, new)
+
+    monkeypatch.setattr(periods, "PAUSE_SECONDS", 0)
+    monkeypatch.setattr(periods.Store, "move", flaky)
+    found = {o.period: (o.status, o.attempts) for o in sinks.deliver(_months(spark, 2.0), root, IOWRT_3D)}
+    assert found == {"2020-01": ("written", 1), "2020-02": ("written", 1), "2020-03": ("written", 3)}
+    assert _sales(spark, root) == [2.0, 2.0, 2.0]
+
+
+def test_audit_of_a_delivery_with_a_failing_period(spark, tmp_path):
+    path, raw = str(tmp_path / "in"), tmp_path / "raw"
+    days = [("abs", dt.date(y, 1, 1), "471", 1.0, 1.0) for y in (2019, 2020, 2020)] + [("abs", None, "471", 1.0, 1.0)]
+    trade(spark, days).write.parquet(path)
+    (raw / "iowrt_3d").mkdir(parents=True)
+    (raw / "iowrt_3d" / "year=2020").write_text("in the way")
+    audit, outcomes = ingest_with_outcomes(spark, {"iowrt_3d": path}, str(raw))
+    row = audit.first()
+    assert (row.status, row.rows_read, row.rows_written, row.rows_failed, row.rows_dropped) == ("partial", 4, 1, 2, 1)
+    assert row.message.startswith("1 of 2 periods failed")
+    assert {r.period: r.status for r in outcomes.collect()} == {"2019-01": "written", "2020-01": "failed"}
+
+
+def test_only_changed_periods_are_written(spark, tmp_path):
+    root = str(tmp_path)
+
+    def deliver(rows):
+        found = sinks.deliver(rows, root, IOWRT_3D, only_changed=True)
+        return [(o.period, o.status, o.n_rows) for o in found]
+
+    def files():
+        return {f: f.stat().st_mtime_ns for f in (tmp_path / "iowrt_3d").rglob("*.parquet")}
+
+    first = _months(spark, 1.0).union(_months(spark, 2.0, [2]))
+    assert {status for _, status, _ in deliver(first)} == {"written"}
+    before = files()
+    assert deliver(first.orderBy(F.desc("sales")).repartition(3)) == [
+        ("2020-01", "unchanged", 1), ("2020-02", "unchanged", 2), ("2020-03", "unchanged", 1),
+    ]
+    assert files() == before
+    twice = first.union(_months(spark, 1.0, [3]))  # a repeated row is a change
+    assert deliver(twice) == [("2020-01", "unchanged", 1), ("2020-02", "unchanged", 2), ("2020-03", "written", 2)]
+    assert _sales(spark, root).count(1.0) == 4
+    retyped = twice.withColumn("volume", F.col("volume").cast("int"))
+    assert {status for _, status, _ in deliver(retyped)} == {"written"}
+    remove_path(spark, f"{root}/iowrt_3d/year=2020/month=01")
+    assert deliver(retyped)[0] == ("2020-01", "written", 1)
