@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kedai import fixtures as fx
-from kedai.functions import keys
+from kedai.functions import keys, numeric
 from kedai.functions.dates import epoch_nanos_to_timestamp
 from kedai.operators import dimensions as dims
 from kedai.operators import ingest, intermediate, joins, quality, staging
@@ -452,6 +452,16 @@ def int_fuelprice_monthly(spark, sf_dir):
     return intermediate.in_month_order(_fuel_monthly(spark, sf_dir))
 
 
+@query
+def fuel_average_six_places(spark, sf_dir):
+    """Averages of prices with six places after the point, before and after rounding to cents."""
+    return fx.fine_prices(spark, sf_dir).groupBy("month").agg(
+        numeric.exact_sum("price").alias("total"),
+        numeric.exact_mean("price").alias("average"),
+        numeric.round_cents(numeric.exact_mean("price")).alias("average_cents"),
+    )
+
+
 @query
 def int_trade_unioned(spark, sf_dir):
     return intermediate.int_trade_unioned(_headline(spark, sf_dir), _trade(spark, sf_dir))

@@ -100,6 +100,15 @@ def raw_fuelprice(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fine_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as prices with six places, from whole numbers, so that every engine has the same doubles."""
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    return table(spark, sf_dir, "orders").select(
+        F.trunc("o_orderdate", "month").alias("month"),
+        (cents * 7919 % 5000011 / F.lit(1e6)).alias("price"),
+    )
+
+
 def fuel_with_text_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delivered fuel prices whose dates are text: days, instants and unreadable ones."""
     day = F.col("o_orderdate")

@@ -289,6 +289,13 @@ QUERIES: dict[str, str] = {
                              ELSE p_brand END AS code FROM part)
     """,
     # intermediate and dimensions
+    "fuel_average_six_places": """
+        SELECT month, total, total / n AS average, round(total / n * 100) / 100 AS average_cents
+        FROM (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n,
+                     CAST(sum(CAST((CAST(round(o_totalprice * 100) AS BIGINT) * 7919 % 5000011) / 1e6
+                         AS DECIMAL(18,6))) AS DOUBLE) AS total
+              FROM orders GROUP BY 1)
+    """,
     "int_fuelprice_monthly": """
         SELECT * FROM int_fuelprice_monthly ORDER BY year_month_date NULLS LAST
     """,

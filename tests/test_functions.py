@@ -1,11 +1,14 @@
 import datetime as dt
+import math
+import random
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
 from kedai.functions import dates as D
 from kedai.functions.keys import NULL_KEY_PART, or_unknown, surrogate_key
-from kedai.functions.numeric import round_cents
+from kedai.functions.numeric import exact_mean, exact_sum, round_cents
 
 
 def value(spark, column):
@@ -55,3 +58,46 @@ def test_surrogate_key(spark):
 
 def test_unknown_member(spark):
     assert value(spark, or_unknown(F.lit(None).cast("string"))) == "UNKNOWN"
+
+
+@pytest.mark.parametrize(
+    "values,total",
+    [
+        ([1.00499, 1.00499, 1.005], 3.01498),
+        ([0.00004] * 10, 0.0004),
+        ([0.1] * 10, 1.0),
+        ([1e-20, 1.0, -1.0], 1e-20),
+        ([3.141592653589793, 2.718281828459045], 5.859874482048838),
+        ([1e25, 1.0], 1e25),
+        ([123456789012.125, 0.875], 123456789013.0),
+        ([float("inf"), 1.0], float("inf")),
+        ([None, None], None),
+        ([None, 2.0], 2.0),
+    ],
+)
+@pytest.mark.parametrize("parts", [1, 5])
+def test_sums_keep_every_digit(spark, values, total, parts):
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(parts)
+    row = df.agg(exact_sum("v").alias("total"), exact_mean("v").alias("mean")).first()
+    assert row.total == total
+    n = sum(v is not None for v in values)
+    assert row.mean == (total / n if n else None)
+
+
+def test_what_is_no_number_shows_in_sums(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.0,)], "v double")
+    assert math.isnan(df.agg(exact_sum("v")).first()[0])
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_sums_are_exact_in_any_order(spark, seed):
+    """Against rational arithmetic on the decimal digits, at sizes from 1e-9 to 1e12."""
+    rng = random.Random(seed)
+    values = [round(rng.uniform(-1, 1) * 10 ** rng.randrange(-3, 8), rng.randrange(0, 9)) for _ in range(500)]
+    expected = float(sum(Fraction(repr(v)) for v in values))
+    found = set()
+    for parts in (1, 2, 3, 7, 16):
+        rng.shuffle(values)
+        df = spark.createDataFrame([(v,) for v in values], "v double").repartition(parts)
+        found.add(df.agg(exact_sum("v")).first()[0])
+    assert found == {expected}
