@@ -20,8 +20,9 @@ from kedai.llm.words import Runs, hash_words, split_words
 SECOND, ERRORS = 3, 1
 # Bits of the sketch whose differences never exceed those of two sets, in long integers.
 SKETCH_LONGS = 8
-# Sets compared with one hub in a task's group, and hubs of a key in the first round after the centres.
-GROUP, HUBS = 512, 8
+# Sets compared with one hub in a task's group; hubs of a key in the first round after the centres, and
+# by how much their number grows from round to round.
+GROUP, HUBS, GROWTH = 512, 64, 4
 # Document ids are broadcast up to this many (16 bytes each); more are joined by shuffling.
 BROADCAST_IDS = 1 << 20
 
@@ -209,15 +210,18 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(compare, "a long, b long")
 
 
-def _close(percent: int, x: str, y: str) -> Column:
-    """Whether two sets may be similar by their sizes and sketches (columns n_, sketch_ and a suffix)."""
-    n, m = F.col(f"n{x}"), F.col(f"n{y}")
-    apart = F.aggregate(
-        F.zip_with(f"sketch{x}", f"sketch{y}", lambda u, v: F.bit_count(u.bitwiseXOR(v))),
-        F.lit(0),
-        lambda total, bits: total + bits,
-    )
+def _sketched(sets: DataFrame) -> DataFrame:
+    """Size and sketch of every class, a column for each part: class, n, s0, s1, ..."""
+    parts = [F.col("sketch")[k].alias(f"s{k}") for k in range(SKETCH_LONGS)]
+    return sets.select("class", "n", *parts).dropDuplicates(["class"])
+
+
+def _close(percent: int, other: str) -> Column:
+    """Whether two sets may be similar by their sizes and sketches; columns of the second have a suffix."""
+    n, m = F.col("n"), F.col(f"n{other}")
     sizes = 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    parts = [F.bit_count(F.col(f"s{k}").bitwiseXOR(F.col(f"s{k}{other}"))) for k in range(SKETCH_LONGS)]
+    apart = functools.reduce(lambda x, y: x + y, parts)
     return sizes & (apart * (100 + percent) <= (n + m) * (100 - percent))
 
 
@@ -242,7 +246,7 @@ def _classes_linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFr
     First every set is compared with the centre of each of its keys, the set that shares keys with most
     others. What a key then holds of one component needs no comparison among itself. Of the sets outside
     the key's largest component, some are taken as hubs and compared with all sets of other components
-    that sizes and sketches allow; they are done then. The next round takes twice as many, until each
+    that sizes and sketches allow; they are done then. The next round takes more of them, until each
     key holds one component or no pair is left.
     """
     degree = members.groupBy("class").agg(F.sum("n_rows").alias("degree"))
@@ -254,22 +258,22 @@ def _classes_linked(members: DataFrame, sets: DataFrame, percent: int) -> DataFr
     pairs = rows.select("hub", "class").distinct()
     labels = components(_links(pairs, sets, percent))
     rows = _open(store(_rooted(rows.drop("hub"), labels), "rooted"))
-    rows = store(rows.join(sets.select("class", "n", "sketch").dropDuplicates(["class"]), "class"), "open-rows")
+    rows = store(rows.join(_sketched(sets), "class"), "open-rows")
     hubs_of_key = HUBS
     while not rows.isEmpty():
         order = Window.partitionBy("key").orderBy(F.desc("degree"), F.xxhash64("class"), "class")
         hubs = rows.where("root <> top").withColumn("place", F.row_number().over(order))
         hubs = store(hubs.where(F.col("place") <= hubs_of_key).drop("place", "degree", "top"), "hubs")
-        names = {name: f"{name}_h" for name in ("class", "root", "n", "sketch")}
+        names = {name: f"{name}_h" for name in hubs.columns if name != "key"}
         met = rows.join(hubs.withColumnsRenamed(names), "key").where(
-            (F.col("root") != F.col("root_h")) & _close(percent, "", "_h")
+            (F.col("root") != F.col("root_h")) & _close(percent, "_h")
         )
         pairs = met.select(F.col("class_h").alias("hub"), "class").distinct()
         known = labels.select(F.col("node").alias("a"), F.col("root").alias("b"))
         labels = components(known.unionByName(_links(pairs, sets, percent)))
         rows = rows.join(hubs.select("key", "class"), ["key", "class"], "left_anti")
         rows = store(_open(store(_rooted(rows, labels), "rooted")), "open-rows")
-        hubs_of_key *= 2
+        hubs_of_key *= GROWTH
     return labels
 
 
