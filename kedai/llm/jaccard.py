@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kedai.llm.common import batch_rows, column_batches, mix64, small_batches, store, text_or_empty
+from kedai.llm.common import batch_rows, mix64, small_batches, store, text_or_empty
 from kedai.llm.components import components
 from kedai.llm.words import Runs, hash_words, split_words
 
@@ -99,8 +99,8 @@ def sketch(hashes: np.ndarray) -> list[int]:
 # --- passes over the texts -------------------------------------------------------------------
 
 
-def _profile(rows: DataFrame, size: int) -> DataFrame:
-    """Of every row: doc_id, the class of its set, and the set's size."""
+def _profile(rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """Of every row: doc_id, the class of its set, the set's size, and its keys."""
 
     def profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,28 +110,12 @@ def _profile(rows: DataFrame, size: int) -> DataFrame:
                     batch.column("doc_id"),
                     pa.array(map(class_of, sets), pa.int64()),
                     pa.array(map(len, sets), pa.int64()),
+                    pa.array([signatures(hashes, percent) for hashes in sets], pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "class", "n_shingles"],
+                names=["doc_id", "class", "n_shingles", "keys"],
             )
 
-    return rows.mapInArrow(profiles, "doc_id long, class long, n_shingles long")
-
-
-def _signed(rows: DataFrame, size: int, percent: int) -> DataFrame:
-    """Every key of every row's set: key, class."""
-
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-        for batch in batches:
-            for (text,) in batch_rows(iter([batch]), "text"):
-                hashes = shingles(text, size)
-                found = signatures(hashes, percent)
-                if len(found):
-                    yield [found, np.full(len(found), class_of(hashes))]
-
-    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from column_batches(keys(batches), ["key", "class"])
-
-    return rows.mapInArrow(rows_of, "key long, class long")
+    return rows.mapInArrow(profiles, "doc_id long, class long, n_shingles long, keys array<bigint>")
 
 
 def _sets(rows: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -299,8 +283,9 @@ def join_groups(
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     named = rows.where("doc_id IS NOT NULL")
-    profiles = store(_profile(rows, size), "profiles")
-    signed = _signed(named, size, percent)
+    whole = store(_profile(rows, size, percent), "profiles")
+    profiles = whole.drop("keys")
+    signed = whole.where("doc_id IS NOT NULL").select(F.explode("keys").alias("key"), "class")
     ends = signed.groupBy("key").agg(F.min("class").alias("least"), F.max("class").alias("most"))
     shared = store(ends.where("least <> most").select("key"), "shared-keys")
     members = store(signed.join(shared, "key").distinct(), "key-members")
