@@ -12,6 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kedai.session import remove_path
 from kedai.sources import periods
 from kedai.sources.datasets import DATE_COLUMN, Dataset
 from kedai.sources.periods import Outcome
@@ -129,33 +130,97 @@ def _bucket_of(column: str, buckets: int):
     return F.pmod(F.hash(column), F.lit(buckets))
 
 
-def write_fact(
-    fact: DataFrame, table: str, path: str | None = None, buckets: int = FACT_BUCKETS
-) -> DataFrame:
-    """Fact table partitioned by year and month and bucketed on the group key.
-
-    Rebalancing on (year, month, bucket) gives each bucket file one writer task, or a few
-    for a hot one.
-    """
+def _fact_writer(fact: DataFrame, partitions: tuple[str, ...], buckets: int):
+    """Rebalancing on (year, month, bucket) gives each bucket file one writer task, or a few
+    for a hot one."""
     layout = [*FACT_PARTITIONS, "_bucket"]
     rows = fact.withColumn("_bucket", _bucket_of(FACT_BUCKET_COLUMN, buckets))
-    writer = (
+    return (
         rows.hint("rebalance", *layout)
         .drop("_bucket")
-        .write.mode("overwrite")
-        .format("parquet")
+        .write.format("parquet")
         .option("compression", "snappy")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy(*FACT_PARTITIONS)
+        .partitionBy(*partitions)
         .bucketBy(buckets, FACT_BUCKET_COLUMN)
         .sortBy(FACT_BUCKET_COLUMN)
     )
+
+
+def write_fact(
+    fact: DataFrame, table: str, path: str | None = None, buckets: int = FACT_BUCKETS
+) -> DataFrame:
+    """Fact table partitioned by year and month and bucketed on the group key."""
+    writer = _fact_writer(fact, FACT_PARTITIONS, buckets).mode("overwrite")
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(table)
     return fact.sparkSession.table(table)
 
 
+# --- versions --------------------------------------------------------------------------------
+
+# Partition column of tables that hold several versions of a relation.
+VERSION = "version"
+
+
+def write_version(
+    df: DataFrame, table: str, version: str, path: str | None = None, is_fact: bool = False
+) -> DataFrame:
+    """Add one version of a relation to a table, a partition of its own; returns it as a scan.
+
+    Other versions are not touched, and readers that ask for one don't see this. A fact is laid out as
+    by ``write_fact`` within its version.
+    """
+    spark = df.sparkSession
+    rows = df.withColumn(VERSION, F.lit(version))
+    if is_fact:
+        writer = _fact_writer(rows, (VERSION, *FACT_PARTITIONS), FACT_BUCKETS)
+    else:
+        writer = rows.write.format("parquet").partitionBy(VERSION)
+    if path:
+        writer = writer.option("path", path)
+    writer.mode("append").saveAsTable(table)
+    return read_version(spark, table, version, df.columns)
+
+
+def read_version(spark: SparkSession, table: str, version: str, columns: list[str]) -> DataFrame:
+    return spark.table(table).where(F.col(VERSION) == version).select(*columns)
+
+
+def held_versions(spark: SparkSession, table: str) -> set[str]:
+    """Versions with rows in a table, by its partitions."""
+    if not spark.catalog.tableExists(table):
+        return set()
+    found = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    return {row.partition.split("/")[0].partition("=")[2] for row in found}
+
+
+def drop_version(spark: SparkSession, table: str, version: str) -> None:
+    """Remove one version of a relation with its files."""
+    if not spark.catalog.tableExists(table):
+        return
+    found = [row.partition for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    specs = []
+    for partition in found:
+        parts = [part.partition("=") for part in partition.split("/")]
+        if parts[0][2] == version:
+            specs.append("(" + ", ".join(f"`{name}` = '{value}'" for name, _, value in parts) + ")")
+    if specs:
+        listed = ", ".join(f"PARTITION {spec}" for spec in specs)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {listed}")
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    remove_path(spark, f"{described.data_type.rstrip('/')}/{VERSION}={version}")
+    spark.catalog.refreshTable(table)
+
+
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Remove a table with its files, wherever they are."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    remove_path(spark, described.data_type)
+
+
 def create_namespace(spark: SparkSession, name: str, root: str | None = None) -> None:
     """A database for published tables, kept where they are."""
     quoted = root.replace("\\", "\\\\").replace("'", "\\'") if root else None

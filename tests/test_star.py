@@ -399,7 +399,92 @@ def test_a_failed_build_leaves_the_old_star(spark, tmp_path, how):
     from kedai.plans import daily
 
     assert len(daily.versions(spark, namespace)) == daily.KEPT_VERSIONS
-    assert len(list((tmp_path / "it's a root").iterdir())) == 4 * daily.KEPT_VERSIONS
+    folders = [f for table in (tmp_path / "it's a root").iterdir() for f in table.glob("version=*")]
+    assert len(folders) == 4 * daily.KEPT_VERSIONS
+
+
+STAR = ("msic_lookup", "int_fuelprice_monthly", "dim_date", "dim_msic_group", "fct_retail_sales_monthly")
+
+
+def _seed(spark, price, **more):
+    rows = [("471", f"Retail {price}", "Runcit", *more.values())]
+    return spark.createDataFrame(rows, ["group_code", "desc_en", "desc_bm", *more])
+
+
+def _shown(session, namespace):
+    """What another session finds under the plain names: the price that marks a version, by relation."""
+    code, fuel, _, groups, fact = (session.table(f"{namespace}.{t}") for t in STAR)
+    session.table(f"{namespace}.dim_date").count()
+    return {
+        float(code.first().desc_en.split()[1]),
+        fuel.first().avg_ron95_price_rm,
+        float(groups.first().group_desc_en.split()[1]),
+        fact.first().avg_ron95_price_rm,
+    }
+
+
+def test_all_relations_turn_in_one_step(spark, tmp_path, monkeypatch):
+    """Whatever step of a publish fails, another session finds all relations in one version."""
+    from kedai.plans import daily
+
+    namespace, root = "pointed", str(tmp_path / "star")
+    sinks.create_namespace(spark, namespace, str(tmp_path / "db"))
+    bounds = dims.spine_bounds(spark, dt.date(2020, 1, 1), dt.date(2020, 2, 1))
+    for price in (1.0, 2.0):
+        build_star(_star_inputs(spark, price=price), bounds, namespace, root, seed=_seed(spark, price))
+    reader = spark.newSession()
+    assert _shown(reader, namespace) == {2.0}
+    inputs, seed = _star_inputs(spark, price=3.0), _seed(spark, 3.0, include_en="food")
+    # Five writes, the tests, five views, the pointer.
+    for step in (0, 4, 5, 6, 8, 11):
+        calls = []
+
+        def failing(function, step=step, calls=calls):
+            def run(*args, **options):
+                calls.append(function.__name__)
+                if len(calls) == step + 1:
+                    raise OSError(f"lost at {function.__name__}")
+                return function(*args, **options)
+
+            return run
+
+        for name in ("write_version", "summary", "_show", "_point"):
+            monkeypatch.setattr(daily, name, failing(getattr(daily, name)))
+        with pytest.raises(OSError, match="lost"):
+            build_star(inputs, bounds, namespace, root, gate=True, seed=seed)
+        monkeypatch.undo()
+        assert len(calls) == step + 1
+        assert _shown(reader, namespace) == {2.0}
+        assert len(daily.versions(spark, namespace)) == 2
+    build_star(inputs, bounds, namespace, root, gate=True, seed=seed)
+    assert _shown(reader, namespace) == {3.0}
+    assert reader.table(f"{namespace}.msic_lookup").first().include_en == "food"
+    for price in (4.0, 5.0):
+        build_star(_star_inputs(spark, price=price), bounds, namespace, root, seed=_seed(spark, price))
+        assert _shown(reader, namespace) == {price}
+    assert reader.table(f"{namespace}.msic_lookup").columns == ["group_code", "desc_en", "desc_bm"]
+
+
+def test_views_read_their_version_alone(spark, tmp_path):
+    namespace, root = "pruned_version", str(tmp_path / "star")
+    sinks.create_namespace(spark, namespace, str(tmp_path / "db"))
+    bounds = dims.spine_bounds(spark, dt.date(2020, 1, 1), dt.date(2020, 3, 1))
+    for price in (1.0, 2.0):
+        build_star(_star_inputs(spark, price=price), bounds, namespace, root, seed=_seed(spark, price))
+    view = spark.table(f"{namespace}.fct_retail_sales_monthly").where("year = 2020")
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    assert "InMemoryFileIndex(1 paths)" in plan and "Subquery" not in plan
+
+
+def test_a_star_of_plain_tables_is_taken_over(spark, tmp_path):
+    """Tables that hold the plain names are kept aside."""
+    namespace = "taken_over"
+    sinks.create_namespace(spark, namespace, str(tmp_path / "db"))
+    spark.range(3).write.saveAsTable(f"{namespace}.dim_date")
+    bounds = dims.spine_bounds(spark, dt.date(2020, 1, 1), dt.date(2020, 3, 1))
+    build_star(_star_inputs(spark), bounds, namespace, str(tmp_path / "star"))
+    assert spark.table(f"{namespace}.dim_date").count() == 60
+    assert spark.table(f"{namespace}.dim_date__before").count() == 3
 
 
 def test_a_dataset_that_never_arrived_does_not_stop_the_fact(spark, tmp_path, delivered):
