@@ -38,6 +38,9 @@ def parse(arguments: list[str]) -> argparse.Namespace:
     parser.add_argument("--root")
     parser.add_argument("--as-of", type=dt.date.fromisoformat)
     parser.add_argument("--gate", action="store_true")
+    parser.add_argument("--only-changed", action="store_true")
+    parser.add_argument("--raw-database")
+    parser.add_argument("--staging-database")
     return parser.parse_args(arguments)
 
 
@@ -58,6 +61,9 @@ def main(arguments: list[str]) -> int:
             options.root,
             as_of=options.as_of,
             gate=options.gate,
+            only_changed=options.only_changed,
+            raw_database=options.raw_database,
+            staging_database=options.staging_database,
         )
     except ChecksFailed as failed:
         logger.error("tests failed: %s", failed)

@@ -18,7 +18,7 @@ from kedai.plans.daily import build_star
 from kedai.plans.ingest_job import ingest as ingest_all
 from kedai.plans.ingest_job import ingest_with_outcomes, written_periods
 from kedai.session import prepare, work_path
-from kedai.sources import periods, readers, sinks
+from kedai.sources import periods, readers, sinks, stored
 from kedai.sources.datasets import DATASETS, FUELPRICE, IOWRT, IOWRT_3D
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -401,6 +401,26 @@ def stg_iowrt_3d_lines(spark, sf_dir):
     return _trade_lines(spark, sf_dir)
 
 
+@query
+def stg_stored_views(spark, sf_dir):
+    """Trade from a stored view over the raw zone's tables, after two deliveries with other types."""
+    root = _raw_root(spark)
+    raw, staged = ("kedai_" + root.rsplit("-", 1)[1] + kind for kind in ("_raw", "_staging"))
+    rows = fx.as_landing(fx.trade_lines(spark, sf_dir))
+    late = F.col("date") >= SCHEMA_CHANGE
+    whole = rows.where(~late).withColumn("volume", F.col("volume").cast("int"))
+    for name, delivery in (("early", whole), ("late", rows.where(late))):
+        path = work_path(spark, f"landing-{name}")
+        delivery.write.parquet(path)
+        ingest_all(spark, {IOWRT_3D.name: path}, root, database=raw)
+    for dataset in (IOWRT, FUELPRICE):
+        stored.register_raw(spark, root, dataset, database=raw)
+    seed = f"{raw}.lookup"
+    sinks.publish_table(fx.seed_rows(spark, sf_dir), seed, work_path(spark, "seed"))
+    views = stored.register_staging_views(spark, seed, raw, staged)
+    return spark.table(views["stg_iowrt_3d"])
+
+
 @query
 def stg_fuelprice(spark, sf_dir):
     return _fuel(spark, sf_dir).withColumn(

@@ -29,6 +29,7 @@ from kedai.sources.datasets import DATASETS
 from kedai.sources.readers import load_seed, register_sources
 from kedai.sources.reconcile import schema_id, united
 from kedai.sources.sinks import create_namespace, write_version
+from kedai.sources.stored import register_all, register_staging_views
 
 
 class ChecksFailed(Exception):
@@ -195,9 +196,10 @@ def _show(spark: SparkSession, name: str, schema: T.StructType, namespace: str |
 
 
 def _drop_empty(spark: SparkSession, schemas: Mapping[str, T.StructType], namespace: str | None) -> None:
-    """Remove tables whose versions are all gone, once no view reads them any more."""
+    """Remove tables whose versions are all gone, and make the views over them anew. The newest table
+    stays, as a version without a row has no partition."""
     for name, schema in schemas.items():
-        tables = _tables_of(spark, name, namespace)
+        tables = set(_tables_of(spark, name, namespace)) - {_table(namespace, _versions_of(name, schema))}
         empty = [table for table in tables if not sinks.held_versions(spark, table)]
         for table in empty:
             sinks.drop_table(spark, table)
@@ -235,16 +237,23 @@ def run_daily(
     start: dt.date = SPINE_START,
     as_of: dt.date | None = None,
     gate: bool = False,
+    only_changed: bool = False,
+    raw_database: str | None = None,
+    staging_database: str | None = None,
 ) -> tuple[DataFrame, Star, DataFrame]:
     """Audit of the ingest, the published star and the test results.
 
+    With ``only_changed`` periods that came again as they are in place are not written. With
+    ``raw_database`` and ``staging_database`` the raw zone and the staging relations are in the catalog
+    as tables and stored views.
+
     The steps run in order on one driver, so the build never reads a raw zone that is still being
     written. A dataset that never arrived is an empty relation; what needs it is empty too.
     """
     prepare(spark)
     if namespace:
         create_namespace(spark, namespace, root)
-    audit = ingest(spark, landing, raw_root)
+    audit = ingest(spark, landing, raw_root, only_changed, raw_database)
     raw = register_sources(spark, raw_root)
     seed = load_seed(spark, seed_path)
     staging = stage(raw, seed)
@@ -252,4 +261,7 @@ def run_daily(
     star = build_star(staging, bounds, namespace, root, gate, raw, seed)
     for name, df in (staging | {"stg_msic_lookup": stg_msic_lookup(spark.table(_table(namespace, SEED)))}).items():
         df.createOrReplaceTempView(name)
+    if raw_database and staging_database:
+        register_all(spark, raw_root, raw_database)
+        register_staging_views(spark, _table(namespace, SEED), raw_database, staging_database)
     return audit, star, star.checks

@@ -15,7 +15,9 @@ from kedai.session import prepare as prepare_session
 from kedai.sources.datasets import DATASETS, Dataset
 from kedai.sources.periods import FAILED, WRITTEN, Outcome, outcomes_frame
 from kedai.sources.readers import scan_landing, scan_raw_mixed
+from kedai.sources.reconcile import schema_id
 from kedai.sources.sinks import deliver
+from kedai.sources.stored import Registration, registration
 
 logger = logging.getLogger(__name__)
 
@@ -28,7 +30,12 @@ SKIPPED, PARTIAL = "skipped", "partial"
 
 
 def ingest_dataset(
-    spark: SparkSession, name: str, path: str, raw_root: str, only_changed: bool = False
+    spark: SparkSession,
+    name: str,
+    path: str,
+    raw_root: str,
+    only_changed: bool = False,
+    register: Registration | None = None,
 ) -> tuple[tuple, list[Outcome]]:
     """One audit row, and the outcome of each of the dataset's periods.
 
@@ -45,6 +52,8 @@ def ingest_dataset(
         if logger.isEnabledFor(logging.DEBUG):
             logger.debug("%s: dates like %s", name, sample_dates(prepare(landing, dataset)).collect())
         found = deliver(rows, raw_root, dataset, only_changed)
+        if register:
+            register(dataset, found, schema_id(rows.schema))
     except DatasetSkipped as reason:
         logger.warning("%s", reason)
         return (name, SKIPPED, landing.count(), 0, 0, 0, str(reason)), []
@@ -92,29 +101,39 @@ def written_periods(spark: SparkSession, raw_root: str) -> DataFrame:
 
 
 def ingest(
-    spark: SparkSession, landing: Mapping[str, str], raw_root: str, only_changed: bool = False
+    spark: SparkSession,
+    landing: Mapping[str, str],
+    raw_root: str,
+    only_changed: bool = False,
+    database: str | None = None,
 ) -> DataFrame:
     """Ingest the given datasets (name -> landing path); returns the audit relation."""
-    return ingest_with_outcomes(spark, landing, raw_root, only_changed)[0]
+    return ingest_with_outcomes(spark, landing, raw_root, only_changed, database)[0]
 
 
 def ingest_with_outcomes(
-    spark: SparkSession, landing: Mapping[str, str], raw_root: str, only_changed: bool = False
+    spark: SparkSession,
+    landing: Mapping[str, str],
+    raw_root: str,
+    only_changed: bool = False,
+    database: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The audit relation, and one row for each delivered period: its status, rows, files, attempts.
 
     A period is replaced as a whole or keeps its old files; one that fails stops no other. A second
     run mends what failed. With ``only_changed`` periods that are delivered again as they are in
-    place are told by a digest of their rows and not written.
+    place are told by a digest of their rows and not written. With ``database`` the raw zone is kept
+    there as tables, whose partitions are added as periods are written.
 
     The datasets share no files, so their jobs run side by side: one can use the cluster
     while another moves its finished files in place.
     """
 
     prepare_session(spark)
+    register = registration(spark, raw_root, database) if database else None
 
     def run(item: tuple[str, str]) -> tuple[tuple, list[Outcome]]:
-        return ingest_dataset(spark, *item, raw_root, only_changed)
+        return ingest_dataset(spark, *item, raw_root, only_changed, register)
 
     with ThreadPoolExecutor(max_workers=max(1, len(landing))) as pool:
         rows = list(pool.map(run, landing.items()))

@@ -133,7 +133,7 @@ def schemas_by_footers(spark: SparkSession, path: str) -> dict[str, T.StructType
             raise
         return {}
     names = {found[1] if (found := NAMED_FILE.search(file)) else LEGACY for file in files}
-    return {name: _merged(spark, path, _files_of([name])) for name in sorted(names)}
+    return {name: _merged(spark, path, files_of([name])) for name in sorted(names)}
 
 
 def _merged(spark: SparkSession, path: str, glob: str) -> T.StructType | None:
@@ -145,7 +145,7 @@ def _merged(spark: SparkSession, path: str, glob: str) -> T.StructType | None:
         return None
 
 
-def _files_of(names: list[str]) -> str:
+def files_of(names: list[str]) -> str:
     globs = [f"part-{name}-*" if name else LEGACY_FILES for name in names]
     return globs[0] if len(globs) == 1 else "{" + ",".join(globs) + "}"
 
@@ -173,8 +173,8 @@ def scan_own(spark: SparkSession, path: str, dataset: Dataset) -> DataFrame:
     frames = []
     for names, schema in together:
         fields = T.StructType([*schema.fields, *period_fields])
-        frames.append(based.option("pathGlobFilter", _files_of(names)).schema(fields).parquet(path))
-    frames += [scan_by_types(spark, path, _files_of([name])) for name in untyped]
+        frames.append(based.option("pathGlobFilter", files_of(names)).schema(fields).parquet(path))
+    frames += [scan_by_types(spark, path, files_of([name])) for name in untyped]
     target = united(target, *(_without(df.schema, dataset.periods) for df in frames))
     return union_all(map(_padded(dataset), frames), T.StructType([*target.fields, *period_fields]))
 

@@ -265,6 +265,7 @@ QUERIES: dict[str, str] = {
     "stg_iowrt": "SELECT * FROM stg_iowrt",
     "stg_iowrt_3d": "SELECT * FROM stg_iowrt_3d",
     "stg_iowrt_3d_lines": "SELECT * FROM stg_lines",
+    "stg_stored_views": "SELECT * FROM stg_lines",
     "stg_fuelprice": "SELECT * FROM stg_fuelprice",
     "stg_msic_lookup": "SELECT * FROM stg_msic_lookup",
     "msic_three_digit": """
