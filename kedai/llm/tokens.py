@@ -35,24 +35,44 @@ RUN, RUNS = 100, 100
 TABLE_BYTES, ENTRY_BYTES, UNIT_CHARACTERS = 1 << 24, 200, 256
 
 
-class Table(dict):
-    """Ids by unit, emptied when its entries take more than ``limit`` bytes."""
+class Table:
+    """Ids by unit in at most ``limit`` bytes: units not met for a while are forgotten.
+
+    There are two halves; a full new half becomes the old one, and units that are met in the old half
+    move to the new one.
+    """
 
     def __init__(self, limit: int, fixed: dict[str, bytes]):
-        super().__init__(fixed)
-        self._limit, self._fixed, self._taken = limit, fixed, 0
+        self._limit, self._fixed, self._taken = limit // 2, fixed, 0
+        self._new: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+
+    def find(self, units: list[str]) -> list[bytes | None]:
+        found = list(map(self._new.get, units))
+        for at in [at for at, ids in enumerate(found) if ids is None]:
+            unit = units[at]
+            if unit in self._fixed:
+                found[at] = self._fixed[unit]
+            elif unit in self._old:
+                found[at] = self._old[unit]
+                self.learn(unit, found[at])
+        return found
 
     def learn(self, unit: str, ids: bytes) -> None:
         if len(unit) > UNIT_CHARACTERS:
             return
         taken = 4 * len(unit) + len(ids) + ENTRY_BYTES
         if self._taken + taken > self._limit:
-            self.clear()
-            self.update(self._fixed)
-            self._taken = 0
-        self[unit] = ids
+            self._old, self._new, self._taken = self._new, {}, 0
+        self._new[unit] = ids
         self._taken += taken
 
+    def size(self) -> int:
+        """Bytes that the entries take."""
+        return sum(
+            4 * len(unit) + len(ids) + ENTRY_BYTES for half in (self._new, self._old) for unit, ids in half.items()
+        )
+
 
 class Encoder:
     """Encodes texts; units met before are looked up instead of being encoded again.
@@ -110,7 +130,8 @@ class Encoder:
         if self._added and re.search(self._added, text):
             return np.frombuffer(self._ids(text), dtype=self._kind)
         units = _UNIT.findall(text)
-        known = {unit: self._units.get(unit) for unit in set(units)}
+        different = list(set(units))
+        known = dict(zip(different, self._units.find(different), strict=True))
         for unit, ids in known.items():
             if ids is None:
                 known[unit] = ids = self._ids(unit)
@@ -140,7 +161,7 @@ class Encoder:
         words = pc.split_pattern(broken, " ")
         coded = words.flatten().dictionary_encode()
         different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        table = list(map(self._words.get, different))
+        table = self._words.find(different)
         new = [at for at, ids in enumerate(table) if ids is None]
         for at, ids in zip(new, self._learn([different[at] for at in new]), strict=True):
             table[at] = ids

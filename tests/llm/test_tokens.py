@@ -31,9 +31,13 @@ def test_ids_are_the_tokenizers(tokenizer, limit):
 
 
 def test_tables_are_bounded_by_bytes():
-    table = Table(1000, {"": b""})
-    for number in range(50):
+    table = Table(4000, {"": b""})
+    for number in range(300):
         table.learn(f"unit{number}", b"\0" * 8)
-        assert sum(200 + 4 * len(unit) + len(ids) for unit, ids in table.items() if unit) <= 1000
+        assert table.find(["often", ""])[1] == b""
+        if number % 3 == 0:
+            table.learn("often", b"\1")
+        assert table.size() <= 4000
+    assert table.find(["often", "unit0", "unit299"]) == [b"\1", None, b"\0" * 8]
     table.learn("x" * 1000, b"\0" * 8)
-    assert "" in table and "x" * 1000 not in table
+    assert table.find(["x" * 1000]) == [None]
