@@ -13,12 +13,12 @@ from kedai.functions import keys, numeric
 from kedai.functions.dates import epoch_nanos_to_timestamp
 from kedai.operators import dimensions as dims
 from kedai.operators import ingest, intermediate, joins, quality, staging
-from kedai.plans import analytics, marts
+from kedai.plans import analytics, marts, month_state
 from kedai.plans.daily import build_star
 from kedai.plans.ingest_job import ingest as ingest_all
 from kedai.plans.ingest_job import ingest_with_outcomes, written_periods
 from kedai.session import prepare, work_path
-from kedai.sources import periods, readers, sinks, stored
+from kedai.sources import periods, readers, sinks, snapshots, stored
 from kedai.sources.datasets import DATASETS, FUELPRICE, IOWRT, IOWRT_3D
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,7 +133,7 @@ def scan_landing_csv(spark, sf_dir):
     landing = fx.as_landing(fx.awkward_lines(spark, sf_dir))
     path = work_path(spark, "landing-csv")
     landing.write.option("header", True).option("escape", '"').csv(path)
-    return readers.scan_landing_csv(spark, path, landing.schema)
+    return readers.scan_landing_csv(spark, path, landing.schema, multi_line=True)
 
 
 @query
@@ -369,6 +369,18 @@ def raw_write_changed(spark, sf_dir):
     return periods.outcomes_frame(spark, again).select("dataset", "period", "status", "n_rows")
 
 
+@query
+def raw_snapshot_readback(spark, sf_dir):
+    """The newest snapshot after everything came, and one month again with whole numbers for sales."""
+    root = _raw_root(spark)
+    rows = ingest.prepare(fx.as_landing(fx.trade_lines(spark, sf_dir)), IOWRT_3D)
+    snapshots.deliver_snapshot(rows, root, IOWRT_3D)
+    month = ingest.period_subset(rows, IOWRT_3D, OVERWRITTEN_MONTH)
+    whole = F.floor("sales").cast("int")
+    snapshots.deliver_snapshot(month.withColumn("sales", whole), root, IOWRT_3D)
+    return _zoneless(snapshots.scan_snapshot(spark, root, IOWRT_3D))
+
+
 @query
 def ingest_status(spark, sf_dir):
     """One dataset lacks its date column and one was not delivered; the other arrives."""
@@ -482,6 +494,20 @@ def fuel_average_six_places(spark, sf_dir):
     )
 
 
+@query
+def fuel_month_state(spark, sf_dir):
+    """Monthly averages after the first day came again with doubled prices; one month is read anew."""
+    root, state = _raw_root(spark), work_path(spark, "fuel-state")
+    rows = ingest.prepare(fx.as_landing(fx.raw_fuelprice(spark, sf_dir)), FUELPRICE)
+    sinks.write_raw(rows, root, FUELPRICE)
+    month_state.refresh_state(spark, root, state)
+    first = rows.agg(F.min("ymd_date").cast("date").alias("day")).first().day
+    day = ingest.period_subset(rows, FUELPRICE, first)
+    doubled = {c: F.col(c) * 2 for c in ("ron95", "ron97", "diesel", "diesel_eastmsia")}
+    found = sinks.deliver(day.withColumns(doubled), root, FUELPRICE)
+    return month_state.averages(month_state.refresh_state(spark, root, state, [o.period for o in found]))
+
+
 @query
 def int_trade_unioned(spark, sf_dir):
     return intermediate.int_trade_unioned(_headline(spark, sf_dir), _trade(spark, sf_dir))
@@ -760,6 +786,13 @@ def sales_filtered(spark, sf_dir):
     )
 
 
+@query
+def sales_in_quarter(spark, sf_dir):
+    """Sales of the second quarters, from the months that the calendar names."""
+    fact, days = _fact_table(spark, sf_dir), sinks.publish(_days(spark, sf_dir), work_path(spark, "dim_date"))
+    return analytics.sales_in_calendar(fact, days, F.col("quarter") == 2)
+
+
 @query
 def corr_sales_fuel(spark, sf_dir):
     return analytics.corr_sales_fuel(_measures(_trade(spark, sf_dir), spark, sf_dir))

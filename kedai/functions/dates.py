@@ -91,10 +91,13 @@ def as_date(col: Column, data_type: T.DataType) -> Column:
 
 
 def text_timestamp(col: Column) -> Column:
-    """A date in one of the forms of ``DATE_FORMS``; any other text becomes NULL."""
+    """A date in one of the forms of ``DATE_FORMS``; any other text becomes NULL.
+
+    The forms exclude one another; they are tested in their order, the commonest one first.
+    """
     text = F.trim(col)
     read = F.lit(None).cast("timestamp")
-    for form, pattern in DATE_FORMS:
+    for form, pattern in reversed(DATE_FORMS):
         parsed = F.try_to_timestamp(text, F.lit(pattern)) if pattern else F.try_to_timestamp(text)
         read = F.when(text.rlike(f"^{form}$"), parsed).otherwise(read)
     return read

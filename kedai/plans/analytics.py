@@ -149,6 +149,19 @@ def sales_filtered(
     return fact.where(in_range & F.col("msic_group_code").isin(groups))
 
 
+def sales_in_calendar(fact: DataFrame, days: DataFrame, wanted: Column) -> DataFrame:
+    """Total sales of the months that an attribute of the calendar picks (quarter, month, year of week).
+
+    The picked months are at most one row a calendar month and are broadcast; they limit the partitions
+    of the fact while the query runs.
+    """
+    months = days.where(wanted).select("year", "month").distinct()
+    picked = fact.join(F.broadcast(months), ["year", "month"], "left_semi")
+    return picked.groupBy("year", "month").agg(
+        round_cents(exact_sum("sales_value_rm_mil")).alias("total_sales_rm_mil"), F.count("*").alias("n_rows")
+    )
+
+
 def _correlations() -> list[Column]:
     sales = F.col("sales_value_rm_mil")
     return [

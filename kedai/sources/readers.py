@@ -66,11 +66,12 @@ def _csv_reader(spark: SparkSession, multi_line: bool):
 
 
 def scan_landing_csv(
-    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True
+    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False
 ) -> DataFrame:
     """The CSV edition of a dataset, read with given types (no inference pass).
 
-    Where no field holds a line break, ``multi_line=False`` lets Spark split large files.
+    Large files are split over tasks. Where fields hold line breaks, ``multi_line`` has to say so: each
+    file is then read by one task.
     """
     return _csv_reader(spark, multi_line).option("enforceSchema", False).schema(schema).csv(path)
 

@@ -158,6 +158,27 @@ def write_fact(
     return fact.sparkSession.table(table)
 
 
+def write_bucketed_dimension(
+    groups: DataFrame, table: str, path: str | None = None, buckets: int = FACT_BUCKETS
+) -> DataFrame:
+    """Group dimension in the buckets of the fact, for dimensions beyond broadcast size.
+
+    Where ``spark.sql.sources.bucketing.enabled`` is on, fact and dimension join bucket by bucket without
+    a shuffle, and a filter on one key reads one bucket.
+    """
+    writer = (
+        groups.repartition(buckets, FACT_BUCKET_COLUMN)
+        .write.mode("overwrite")
+        .format("parquet")
+        .bucketBy(buckets, FACT_BUCKET_COLUMN)
+        .sortBy(FACT_BUCKET_COLUMN)
+    )
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
+    return groups.sparkSession.table(table)
+
+
 # --- versions --------------------------------------------------------------------------------
 
 # Partition column of tables that hold several versions of a relation.

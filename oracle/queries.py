@@ -150,6 +150,11 @@ _CORRELATIONS = ", ".join(
     for p in ("avg_ron95_price_rm", "avg_ron97_price_rm", "avg_diesel_peninsular_price_rm")
 )
 
+_DOUBLED_AVERAGES = ", ".join(
+    f"round(CAST(SUM(CAST({p} * f AS DECIMAL(28,4))) AS DOUBLE) / count({p}) * 100) / 100 AS avg_{p}"
+    for p in ("ron95_price_rm", "ron97_price_rm", "diesel_peninsular_price_rm", "diesel_eastmsia_price_rm")
+)
+
 QUERIES: dict[str, str] = {
     # sources
     "scan_landing": """
@@ -204,6 +209,12 @@ QUERIES: dict[str, str] = {
         UNION ALL
         SELECT 'iowrt_3d', strftime(ymd_date, '%Y-%m'), count(*) FROM trade_lines GROUP BY 2
     """,
+    "raw_snapshot_readback": f"""
+        SELECT series, CAST(ymd_date AS TIMESTAMP) AS ymd_date, group_code,
+               CASE WHEN ymd_date = DATE '1997-03-01' THEN floor(sales) ELSE sales END AS sales,
+               volume, {_PADDED}
+        FROM trade_lines
+    """,
     "ingest_period_outcomes": """
         SELECT 'iowrt_3d' AS dataset, strftime(ymd_date, '%Y-%m') AS period,
                CASE WHEN year(any_value(ymd_date)) = 1997 THEN 'failed' ELSE 'written' END AS status,
@@ -290,6 +301,12 @@ QUERIES: dict[str, str] = {
                              ELSE p_brand END AS code FROM part)
     """,
     # intermediate and dimensions
+    "fuel_month_state": f"""
+        SELECT CAST(date_trunc('month', record_date) AS DATE) AS year_month_date, {_DOUBLED_AVERAGES}
+        FROM (SELECT s.*, CASE WHEN CAST(record_date AS DATE) = first THEN 2 ELSE 1 END AS f
+              FROM stg_fuelprice s, (SELECT CAST(min(o_orderdate) AS DATE) AS first FROM orders))
+        GROUP BY 1
+    """,
     "fuel_average_six_places": """
         SELECT month, total, total / n AS average, round(total / n * 100) / 100 AS average_cents
         FROM (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS n,
@@ -464,6 +481,11 @@ QUERIES: dict[str, str] = {
         WHERE record_date BETWEEN DATE '1997-11-01' AND DATE '1999-02-28'
           AND msic_group_code IN ('Brand#11', 'Brand#13', 'Brand#42')
     """,
+    "sales_in_quarter": """
+        SELECT year, month, round(sum(sales_value_rm_mil) * 100) / 100 AS total_sales_rm_mil,
+               count(*) AS n_rows
+        FROM fact_lines WHERE month IN (4, 5, 6) GROUP BY year, month
+    """,
     "corr_sales_fuel": f"SELECT {_CORRELATIONS} FROM fact",
     "corr_by_group": f"SELECT msic_group_code, {_CORRELATIONS} FROM fact GROUP BY 1",
     "seasonality": """
