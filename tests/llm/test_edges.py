@@ -138,8 +138,65 @@ def test_own_words_of_templated_items(spark, monkeypatch, broadcast):
 
 
 def test_fingerprints_within_the_radius_meet(spark):
-    assert len(decontaminate._masks()) == 37
-    assert decontaminate.RADIUS == 47
+    """Against all pairs: whatever bits differ, pairs of one length within the radius meet, others don't."""
+    rng = random.Random(6)
+    items, windows = [], []
+    for number in range(60):
+        bits = [rng.getrandbits(64), rng.getrandbits(64)]
+        items.append((number, 20 + number % 2, *(b - (1 << 63) for b in bits)))
+        for wrong in (0, 10, 30, 46, 47, 48, 60):
+            flipped = sum(1 << bit for bit in rng.sample(range(128), wrong))
+            changed = (bits[0] ^ (flipped >> 64), bits[1] ^ (flipped & ((1 << 64) - 1)))
+            windows.append((len(windows), 20 + number % 2, *(b - (1 << 63) for b in changed)))
+    columns = "item long, length int, f0 long, f1 long"
+    index = decontaminate.index_of(spark.createDataFrame(items, columns))
+    prints = spark.createDataFrame(windows, columns.replace("item", "window"))
+    found = {(r.window, r.item) for r in decontaminate.meet(prints, index).collect()}
+    mask = (1 << 64) - 1
+    expected = {
+        (w, i)
+        for w, n, a, b in windows
+        for i, m, c, d in items
+        if n == m and ((a ^ c) & mask).bit_count() + ((b ^ d) & mask).bit_count() <= decontaminate.RADIUS
+    }
+    assert found == expected and len(expected) >= 300
+
+
+def test_edited_quotes_of_templated_items_are_found(spark):
+    """Items that share a template; quotes with words changed up to the threshold: recall by OP2_SQL."""
+    rng = random.Random(9)
+    frame = [f"frame{k}" for k in range(30)]
+    items, texts = [], []
+    for i in range(120):
+        own = [f"q{i}x{k}" for k in range(rng.randrange(12, 50))]
+        words = frame[: rng.randrange(0, 30)] + own
+        items.append((i, " ".join(words)))
+        for _ in range(3):
+            quote = list(words)
+            for _ in range(rng.randrange(0, 1 + len(own) // 20)):
+                quote[rng.randrange(len(quote))] = f"new{rng.randrange(10**6)}"
+            texts.append(" ".join([*(f"lead{k}" for k in range(rng.randrange(5))), *quote, "out"]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    connection = duckdb.connect()
+    connection.register("documents", docs.toPandas())
+    connection.register("benchmark", benchmark.toPandas())
+    expected = set(oracle_rows(connection, queries.OP2_SQL)[1])
+    found = set(spark_rows(decontaminate.contaminated(docs, benchmark).drop("text_key"))[1])
+    assert found <= expected and len(found) >= 0.99 * len(expected) and len(expected) > 250
+
+
+def test_short_items_are_one_run(spark):
+    items = [(1, "Name the capital city"), (2, "few words"), (3, "请解释为什么天空在白天看起来是蓝色的而在傍晚变红"), (4, "Photosynthesis?  Chlorophyll")]
+    texts = ["please NAME the capital, city now", "few words", "问：请解释为什么天空在白天看起来是蓝色的而在傍晚变红。", "photosynthesis and chlorophyll",
+             "Photosynthesis, chlorophyll", "name the capital", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.contaminated(docs, benchmark).collect()
+    assert {(r.doc_id, r.item_id, r.start, r.n_words, r.similarity) for r in found} == {
+        (0, 1, 1, 4, 1.0), (2, 3, 1, 1, 1.0), (4, 4, 0, 2, 1.0),
+    }
+    assert decontaminate.decontaminate(docs, benchmark).count() == 4
 
 
 # --- personal data --------------------------------------------------------------------------
