@@ -22,10 +22,11 @@ PATTERNS = {
 KINDS = [*PATTERNS, "identifier"]
 
 # Words with a digit that may be identifiers.
-TOKEN = r"(?<!\S)(?=[^\s0-9]*+[0-9])\S{5,64}+(?!\S)"
+TOKEN = r"(?<!\S)(?=[^\s0-9]*+[0-9])\S{5,}+(?!\S)"
 
-# Rounds of scoring; a pattern is trusted from this confidence and this many known instances on.
-ROUNDS, CONFIDENCE, SUPPORT = 3, 0.6, 3
+# A pattern is trusted from this confidence and this many known instances on. Scoring ends when a round
+# adds no pattern and lifts the patterns' confidence by no more than STILL on average.
+CONFIDENCE, SUPPORT, STILL = 0.6, 3, 1e-3
 
 # Rows of discovered spans that are broadcast at most; more are joined by shuffling.
 BROADCAST_ROWS = 1 << 18
@@ -175,7 +176,8 @@ def trusted_patterns(found: DataFrame) -> DataFrame:
 
     The graph links patterns and instances. Seeds score 1. In each round a pattern's confidence is the
     mean score of its distinct instances, and an instance's score the best confidence of its trusted
-    patterns; new instances may raise further patterns. Without a word before there is no context, so
+    patterns; new instances may raise further patterns. Scores only rise, so rounds go on until nothing
+    is added. Without a word before there is no context, so
     such places count for their instances but form no trusted pattern.
     """
     pattern = ["before", "shape"]
@@ -183,8 +185,8 @@ def trusted_patterns(found: DataFrame) -> DataFrame:
         found.groupBy(*pattern, "instance").agg(F.max(F.col("seed").cast("int")).alias("seed")), "edges"
     )
     known = edges.groupBy("instance").agg(F.max("seed").cast("double").alias("score"))
-    trusted = None
-    for _ in range(ROUNDS):
+    before = (-1, 0.0)
+    while True:
         scored = edges.join(store(known, "instances"), "instance")
         sure = F.count(F.when(F.col("score") >= CONFIDENCE, True))
         trusted = store(
@@ -195,10 +197,13 @@ def trusted_patterns(found: DataFrame) -> DataFrame:
             .select(*pattern, "confidence"),
             "patterns",
         )
+        count, total = trusted.agg(F.count("*"), F.coalesce(F.sum("confidence"), F.lit(0.0))).first()
+        if count == before[0] and total - before[1] <= STILL * count:
+            return trusted.select(*pattern)
+        before = (count, total)
         lifted = edges.join(trusted, pattern, "left")
         best = F.greatest(F.col("seed").cast("double"), F.coalesce("confidence", F.lit(0.0)))
         known = lifted.groupBy("instance").agg(F.max(best).alias("score"))
-    return trusted.select(*pattern)
 
 
 def discovered(profiles: DataFrame) -> DataFrame:
