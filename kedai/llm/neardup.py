@@ -45,9 +45,9 @@ def chunks_needed(similarity: float, miss: float = MISS) -> int:
 
 
 def radius(similarity: float) -> int:
-    """Differing values, of all in a signature, up to which a pair is confirmed on its sets."""
-    spread = math.sqrt(SYMBOLS * similarity * (1 - similarity))
-    return math.ceil(SYMBOLS * (1 - similarity) + 5 * spread)
+    """Differing values, of all indexed ones, up to which a pair is a candidate: the distance up to which
+    every pair shares a key."""
+    return 2 * chunks_needed(similarity) - 1
 
 
 @functools.lru_cache(maxsize=1)
@@ -118,8 +118,8 @@ def _keys(chunks: int, name: str = "signature") -> Column:
     return F.array(*keys)
 
 
-def _differing(x: Column, y: Column) -> Column:
-    """Number of unequal values of two packed signatures."""
+def _differing(x: Column, y: Column, chunks: int) -> Column:
+    """Number of unequal values in the indexed chunks of two packed signatures."""
 
     def lanes(u: Column, v: Column) -> Column:
         bits = u.bitwiseXOR(v)
@@ -127,6 +127,7 @@ def _differing(x: Column, y: Column) -> Column:
             bits = bits.bitwiseOR(F.shiftrightunsigned(bits, shift))
         return F.bit_count(bits.bitwiseAND(F.lit(_ONES)))
 
+    x, y = F.slice(x, 1, chunks), F.slice(y, 1, chunks)
     return F.aggregate(F.zip_with(x, y, lanes), F.lit(0), lambda total, n: total + n)
 
 
@@ -208,18 +209,20 @@ def _rest_links(
     both = percent * (col("n_shingles") + col("n_shingles_x"))
     possible = F.least("shared", "shared_x") * (100 + percent) >= both
     first = F.expr("NOT arrays_overlap(slice(keys, 1, j), slice(keys_x, 1, j))")
-    near = _differing(col("signature"), col("signature_x")) <= radius(percent / 100)
+    chunks = chunks_needed(percent / 100)
+    near = _differing(col("signature"), col("signature_x"), chunks) <= radius(percent / 100)
     similar = F.size(F.array_intersect("hashes", "hashes_x")) * (100 + percent) >= both
     same = (col("key") == col("key_x")) & once & possible & first & near & similar
     links = whole.join(others, same)
     return links.select(F.least("doc", "doc_x").alias("a"), F.greatest("doc", "doc_x").alias("b"))
 
 
-def _near(pairs: DataFrame, signatures: DataFrame, limit: int) -> DataFrame:
+def _near(pairs: DataFrame, signatures: DataFrame, similarity: float) -> DataFrame:
     """Pairs within the signature distance."""
     of = lambda name, to: signatures.select(F.col("doc").alias(name), F.col("signature").alias(to))
     both = pairs.join(of("a", "sa"), "a").join(of("b", "sb"), "b")
-    return both.where(_differing(F.col("sa"), F.col("sb")) <= limit).select("a", "b")
+    apart = _differing(F.col("sa"), F.col("sb"), chunks_needed(similarity))
+    return both.where(apart <= radius(similarity)).select("a", "b")
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -316,7 +319,7 @@ def link_groups(
     def confirmed(pairs: DataFrame) -> DataFrame:
         return _confirm(pairs, texts, size, percent)
 
-    labels = components(confirmed(_near(_hub_pairs(buckets), classes, radius(similarity))))
+    labels = components(confirmed(_near(_hub_pairs(buckets), classes, similarity)))
     rest = _rest_links(buckets, labels, classes, texts, size, percent)
     known = labels.select(F.col("node").alias("a"), F.col("root").alias("b"))
     labels = components(known.unionByName(rest))
