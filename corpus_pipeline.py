@@ -31,8 +31,9 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences with their ids."""
-    return packing.pack(docs, tokenizer_file()).withColumn("ids_crc32", F.crc32("ids"))
+    """Pieces of training sequences with their ids; other stages have used the executors' memory before,
+    so little of it is for look-up tables."""
+    return packing.pack(docs, tokenizer_file(), table_bytes=1 << 24).withColumn("ids_crc32", F.crc32("ids"))
 
 
 STAGES = [

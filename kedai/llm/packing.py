@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kedai.llm.common import small_batches, text_or_empty
-from kedai.llm.tokens import encoder
+from kedai.llm.tokens import TABLE_BYTES, encoder
 
 CONTEXT = 1024
 SHORTEST = 64
@@ -36,66 +36,91 @@ def tiers_of(context: int, shortest: int) -> list[int]:
 
 
 class Tiers:
-    """Pieces waiting in a tier for each context size; a tier is sorted by length."""
+    """Pieces waiting in a tier for each context size, sorted by length.
+
+    Every other piece of a tier is its own, the rest is its surplus: the own ones open windows of the
+    tier's length, the surplus fills gaps of longer windows. The longest tier has no surplus.
+    """
 
     def __init__(self, sizes: list[int]):
         self.sizes = sizes
-        self.held: list[list[tuple]] = [[] for _ in sizes]
-        self.pieces = 0
+        self.own: list[list[tuple]] = [[] for _ in sizes]
+        self.spare: list[list[tuple]] = [[] for _ in sizes]
+        self._added = [0] * len(sizes)
+        self.pieces = self.ids = 0
 
     def tier(self, length: int) -> int:
         """The shortest tier whose context holds the length."""
         return max(k for k, size in enumerate(self.sizes) if size >= length)
 
     def add(self, piece: tuple) -> None:
-        bisect.insort(self.held[self.tier(piece[0])], piece)
+        k = self.tier(piece[0])
+        self._added[k] += 1
+        bisect.insort((self.spare if k and self._added[k] % 2 else self.own)[k], piece)
         self.pieces += 1
+        self.ids += piece[0]
 
-    def longest(self) -> tuple:
-        self.pieces -= 1
-        return next(held for held in self.held if held).pop()
-
-    def filling(self, gap: int) -> tuple:
-        """The longest piece that fits into the gap, else the shortest one, which is cut."""
+    def _take(self, held: list[tuple], at: int) -> tuple:
+        piece = held.pop(at)
         self.pieces -= 1
-        for held in self.held:
-            at = bisect.bisect_left(held, (gap + 1,))
-            if at:
-                return held.pop(at - 1)
-        piece = next(held for held in reversed(self.held) if held).pop(0)
-        length, number, doc, start, total, ids = piece
+        self.ids -= piece[0]
+        return piece
+
+    def filling(self, gap: int, lists: list[list[tuple]]) -> tuple | None:
+        """The longest piece of some lists that fits into the gap, else the shortest one, which is cut."""
+        fits = [(held[at - 1], held, at - 1) for held in lists if (at := bisect.bisect_left(held, (gap + 1,)))]
+        if fits:
+            _, held, at = max(fits, key=lambda one: one[0][:2])
+            return self._take(held, at)
+        left = [held for held in lists if held]
+        if not left:
+            return None
+        shortest = min(left, key=lambda held: held[0][:2])
+        length, number, doc, start, total, ids = self._take(shortest, 0)
         self.add((length - gap, number, doc, start + gap, total, ids[gap:]))
         return gap, number, doc, start, total, ids[:gap]
 
-
-def pack_tiers(tiers: Tiers, context: int, least: int) -> Iterator[tuple[int, list[tuple]]]:
-    """Full long windows while more than ``least`` pieces wait: the longest piece opens a window,
-    shorter tiers fill its gap."""
-    while tiers.pieces > least:
-        window, gap = [], context
-        while gap and tiers.pieces:
-            piece = tiers.longest() if gap == context else tiers.filling(gap)
+    def window(self, k: int) -> list[tuple]:
+        """A full window of a tier's length, opened by its longest own piece: gaps take the surplus of
+        shorter tiers, then what this tier and shorter ones keep for themselves, then anything. So many
+        ids have to be waiting."""
+        window = [self._take(self.own[k], -1)]
+        gap = self.sizes[k] - window[0][0]
+        sources = (self.spare[k + 1 :], self.own[k:] + self.spare[: k + 1], self.own)
+        while gap:
+            piece = next(found for lists in sources if (found := self.filling(gap, lists)))
             window.append(piece)
             gap -= piece[0]
-        if gap:
-            for piece in window:
-                tiers.add(piece)
-            return
-        yield context, window
+        return window
+
+
+def pack_tiers(tiers: Tiers, least: int) -> Iterator[tuple[int, list[tuple]]]:
+    """Full windows of every tier's own length, while more than ``least`` pieces wait: each tier in turn,
+    the longest first, turns half of its own pieces into windows."""
+    packed = True
+    while packed:
+        packed = False
+        for k, size in enumerate(tiers.sizes):
+            for _ in range(-(-len(tiers.own[k]) // 2)):
+                if not tiers.own[k] or tiers.pieces <= least or tiers.ids < size:
+                    break
+                packed = True
+                yield size, tiers.window(k)
 
 
 def pack_rest(tiers: Tiers) -> Iterator[tuple[int, list[tuple]]]:
-    """What cannot fill a long window goes to full windows of shorter tiers; less than the shortest
-    tier is left for one padded sequence."""
+    """What waits at the end goes to full windows, of the longest tier that it can fill; less than the
+    shortest tier is left for one padded sequence."""
+    lists = tiers.own + tiers.spare
     for size in tiers.sizes:
-        while sum(piece[0] for held in tiers.held for piece in held) >= size:
+        while tiers.ids >= size:
             window, gap = [], size
             while gap:
-                piece = tiers.filling(gap)
+                piece = tiers.filling(gap, lists)
                 window.append(piece)
                 gap -= piece[0]
             yield size, window
-    rest = [piece for held in tiers.held for piece in held]
+    rest = [piece for held in lists for piece in held]
     if rest:
         yield tiers.sizes[0], rest
 
@@ -107,18 +132,20 @@ def pack(
     shortest: int = SHORTEST,
     id_col: str = "doc_id",
     text_col: str = "text",
+    table_bytes: int = TABLE_BYTES,
 ) -> DataFrame:
     """Pack all documents into sequences of at most ``context`` ids; one row per piece.
 
     A document's whole windows become sequences of their own. Its rest is routed to the shortest
-    context tier that holds it. Long windows are opened by the longest waiting piece and their gaps
-    filled from shorter tiers, cutting the last piece where nothing fits. What is left at the end of
-    a partition fills windows of shorter tiers (powers of two), so that each partition pads at most
-    one sequence. Sequences are dealt to step groups in the order of their attention cost, forth and
+    context tier that holds it. Each tier is packed into full windows of its own length, opened by its
+    longest pieces; gaps are filled from the surplus of shorter tiers, every other piece of theirs,
+    cutting the last piece where nothing fits. Tiers are powers of two, so such windows need no padding.
+    What is left at the end of a partition fills windows of the longest tiers that it can, so that each
+    partition pads at most one sequence. Sequences are dealt to step groups in the order of their attention cost, forth and
     back, so that groups of a step cost about the same.
 
     Each input partition is packed where it is read, without a shuffle; a task holds at most
-    ``POOL`` rests. Null and empty texts are one end id. Repeated rows and ids stay separate
+    ``POOL`` rests, and ids of units met before in tables of ``table_bytes`` bytes. Null and empty texts are one end id. Repeated rows and ids stay separate
     documents; null ids are kept; other columns are ignored; an empty table has no pieces.
     ``sequence_id`` is unique over partitions; ``offset`` counts from 0 in a sequence without gaps.
     """
@@ -126,7 +153,7 @@ def pack(
     sizes = tiers_of(context, shortest)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).documents
+        encode = encoder(tokenizer, table_bytes).documents
         base = TaskContext.get().partitionId() << 36
         waiting: list[tuple[int, list[tuple]]] = []
         made, groups = 0, 0
@@ -173,11 +200,11 @@ def pack(
             if whole < len(ids):
                 tiers.add((len(ids) - whole, number, doc, whole, len(ids), ids[whole:].copy()))
             if tiers.pieces >= POOL:
-                for window in pack_tiers(tiers, context, POOL // 2):
+                for window in pack_tiers(tiers, POOL // 2):
                     waiting.append(window)
                     if len(waiting) == STEP_GROUPS * STEP_SIZE:
                         yield emit()
-        for part in (pack_tiers(tiers, context, 0), pack_rest(tiers)):
+        for part in (pack_tiers(tiers, 0), pack_rest(tiers)):
             for window in part:
                 waiting.append(window)
                 if len(waiting) == STEP_GROUPS * STEP_SIZE:

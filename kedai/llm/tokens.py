@@ -32,46 +32,36 @@ RUN, RUNS = 100, 100
 
 # Bytes that each of an encoder's two look-up tables may take, and what an entry takes beside its
 # characters and ids. Longer units are encoded every time.
-TABLE_BYTES, ENTRY_BYTES, UNIT_CHARACTERS = 1 << 24, 200, 256
+TABLE_BYTES, ENTRY_BYTES, UNIT_CHARACTERS = 1 << 28, 150, 256
 
 
-class Table:
-    """Ids by unit in at most ``limit`` bytes: units not met for a while are forgotten.
-
-    There are two halves; a full new half becomes the old one, and units that are met in the old half
-    move to the new one.
-    """
+class Table(dict):
+    """Ids by unit, emptied when its entries would take more than ``limit`` bytes."""
 
     def __init__(self, limit: int, fixed: dict[str, bytes]):
-        self._limit, self._fixed, self._taken = limit // 2, fixed, 0
-        self._new: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
+        super().__init__(fixed)
+        self._limit, self._fixed, self._taken = limit, fixed, 0
 
     def find(self, units: list[str]) -> list[bytes | None]:
-        found = list(map(self._new.get, units))
-        for at in [at for at, ids in enumerate(found) if ids is None]:
-            unit = units[at]
-            if unit in self._fixed:
-                found[at] = self._fixed[unit]
-            elif unit in self._old:
-                found[at] = self._old[unit]
-                self.learn(unit, found[at])
-        return found
-
-    def learn(self, unit: str, ids: bytes) -> None:
-        if len(unit) > UNIT_CHARACTERS:
-            return
-        taken = 4 * len(unit) + len(ids) + ENTRY_BYTES
+        return list(map(self.get, units))
+
+    def learn(self, units: list[str], ids: list[bytes]) -> None:
+        """Keep units; more at a time than the table holds are not kept."""
+        if units and max(map(len, units)) > UNIT_CHARACTERS:
+            short = [(unit, one) for unit, one in zip(units, ids, strict=True) if len(unit) <= UNIT_CHARACTERS]
+            units, ids = [unit for unit, _ in short], [one for _, one in short]
+        taken = sum(map(len, units)) + sum(map(len, ids)) + ENTRY_BYTES * len(units)
         if self._taken + taken > self._limit:
-            self._old, self._new, self._taken = self._new, {}, 0
-        self._new[unit] = ids
-        self._taken += taken
+            self.clear()
+            self.update(self._fixed)
+            self._taken = 0
+        if taken <= self._limit:
+            self.update(zip(units, ids, strict=True))
+            self._taken += taken
 
     def size(self) -> int:
         """Bytes that the entries take."""
-        return sum(
-            4 * len(unit) + len(ids) + ENTRY_BYTES for half in (self._new, self._old) for unit, ids in half.items()
-        )
+        return sum(len(unit) + len(ids) + ENTRY_BYTES for unit, ids in self.items() if unit not in self._fixed)
 
 
 class Encoder:
@@ -102,7 +92,7 @@ class Encoder:
         ids = self._tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, dtype=self._kind).tobytes()
 
-    def _learn(self, words: list[str]) -> list[bytes]:
+    def _encode(self, words: list[str]) -> list[bytes]:
         """Encode words of even texts in long runs; the tokens' bytes show each word's share.
 
         A word follows a blank unless it starts with a line break.
@@ -118,8 +108,6 @@ class Encoder:
             stops = np.searchsorted(np.cumsum(self._bytes[ids]), ends, side="right")
             raw, stops = ids.tobytes(), (stops * self._kind.itemsize).tolist()
             out += [raw[a:b] for a, b in zip([0, *stops], stops, strict=False)]
-        for word, ids in zip(words, out, strict=True):
-            self._words.learn(word, ids)
         return out
 
     def encode(self, text: str) -> np.ndarray:
@@ -132,10 +120,9 @@ class Encoder:
         units = _UNIT.findall(text)
         different = list(set(units))
         known = dict(zip(different, self._units.find(different), strict=True))
-        for unit, ids in known.items():
-            if ids is None:
-                known[unit] = ids = self._ids(unit)
-                self._units.learn(unit, ids)
+        fresh = [unit for unit, ids in known.items() if ids is None]
+        known.update((unit, self._ids(unit)) for unit in fresh)
+        self._units.learn(fresh, [known[unit] for unit in fresh])
         return np.frombuffer(b"".join(map(known.__getitem__, units)), dtype=self._kind)
 
     def documents(self, texts: pa.Array) -> list[np.ndarray]:
@@ -162,13 +149,14 @@ class Encoder:
         coded = words.flatten().dictionary_encode()
         different = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         table = self._words.find(different)
+        which = coded.indices.to_numpy(zero_copy_only=False)
         new = [at for at, ids in enumerate(table) if ids is None]
-        for at, ids in zip(new, self._learn([different[at] for at in new]), strict=True):
+        for at, ids in zip(new, self._encode([different[at] for at in new]), strict=True):
             table[at] = ids
+        self._words.learn([different[at] for at in new], [table[at] for at in new])
         flat = np.frombuffer(b"".join(table), dtype=self._kind)
         sizes = np.fromiter(map(len, table), np.int64, len(table)) // self._kind.itemsize
         starts = np.cumsum(sizes) - sizes
-        which = coded.indices.to_numpy(zero_copy_only=False)
         held = sizes[which]
         ends = np.cumsum(held)
         ids = flat[np.repeat(starts[which] - ends + held, held) + np.arange(ends[-1])]
@@ -180,7 +168,7 @@ class Encoder:
         return np.split(out, stops[:-1])
 
 
-@functools.lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    """One encoder for each worker process and tokenizer file."""
-    return Encoder(path)
+@functools.lru_cache(maxsize=1)
+def encoder(path: str, limit: int = TABLE_BYTES) -> Encoder:
+    """One encoder for each worker process; the last one used is kept."""
+    return Encoder(path, limit)

@@ -2,12 +2,14 @@
 
 import hashlib
 import random
+import re
 import zlib
 
 import duckdb
 import numpy as np
 import pytest
 from compare import oracle_rows, spark_rows
+from pyspark.sql import functions as F
 from test_queries import base_spans, check_packing, near_pairs
 
 from kedai.llm import (
@@ -252,6 +254,94 @@ def test_contexts_are_the_words_before(spark):
     assert [found[text] for text in more] == places
 
 
+def bootstrap(texts):
+    """The pattern-instance graph in plain Python, to a fixed point: spans added to each text."""
+    places = []
+    for number, text in enumerate(texts):
+        spans, before = base_spans(text), ""
+        for match in re.finditer(r"\S+", text):
+            word = match[0]
+            if len(word) >= 5 and re.search("[0-9]", word):
+                core = re.sub(r"^[^\w]*|[^\w]+$", "", word)
+                start = match.start() + word.index(core)
+                end = start + len(core)
+                shape = re.sub("[0-9]+", "9", re.sub(r"[^\W\d_]+", "a", word))
+                seed = any(b < end and e > start for b, _, e, _ in spans)
+                if len(core) >= 5:
+                    places.append((number, start, end, core, (before.lower(), shape), seed))
+            before = word
+    edges = {}
+    for _, _, _, core, pattern, seed in places:
+        edges[pattern, core] = max(edges.get((pattern, core), 0), int(seed))
+    score = {}
+    for (_, core), seed in edges.items():
+        score[core] = max(score.get(core, 0.0), float(seed))
+    while True:
+        held = {}
+        for pattern, core in edges:
+            held.setdefault(pattern, []).append(score[core])
+        trusted = {
+            p: sum(v) / len(v)
+            for p, v in held.items()
+            if p[0] and sum(v) / len(v) >= pii.CONFIDENCE and sum(x >= pii.CONFIDENCE for x in v) >= pii.SUPPORT
+        }
+        lifted = dict.fromkeys(score, 0.0)
+        for (pattern, core), seed in edges.items():
+            lifted[core] = max(lifted[core], float(seed), trusted.get(pattern, 0.0))
+        if lifted == score:
+            break
+        score = lifted
+    return sorted((n, f"identifier:{a}:{b}") for n, a, b, _, pattern, seed in places if not seed and pattern in trusted)
+
+
+def test_patterns_are_found_to_the_end_of_every_chain(spark):
+    """Each pattern shares identifiers with the one before: the last one is seven rounds away."""
+    rng = random.Random(4)
+    texts = [f"w0 10.{rng.randrange(256)}.7.{k % 256} seen" for k in range(60)]
+    words = [[f"id{step}x{k}y{k * k}" for k in range(8)] for step in range(8)]
+    texts += [f"w0 {word} seen" for word in words[0][:6]]
+    texts = [t.replace("id0x", "10.9.9.").replace("y", "00") if "id0x" in t else t for t in texts]
+    for k in range(40):
+        texts.append(f"w1 10.{rng.randrange(256)}.8.{k} seen")
+    shape = "key{}-{}"
+    for step in range(1, 8):
+        names = [shape.format(chr(96 + step) * 2, 100 + k) for k in range(9)]
+        # Most of a step's identifiers are known from the step before, the rest lead to the next one.
+        earlier = [shape.format(chr(95 + step) * 2, 100 + k) for k in range(9)] if step > 1 else []
+        texts += [f"w{step + 1} {name} seen" for name in [*earlier, *names[:4]]]
+        if step == 1:
+            texts += [f"w2 10.{rng.randrange(256)}.9.{k} key" for k in range(3)]
+            texts += [f"mail{k}@example.org" for k in range(3)]
+        texts += [f"w{step + 2} {name} seen" for name in names[:4]]
+    texts += ["x" * 100 + "1 alone", f"w1 910.2.3.{'4' * 80} seen"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = [
+        (row.doc_id, span)
+        for row in pii.find(docs).collect()
+        for span in row.spans.split(",")
+        if span.startswith("identifier")
+    ]
+    assert sorted(found) == bootstrap(texts)
+
+
+def test_a_chain_of_patterns(spark):
+    """Base spans trust w0, whose other words trust w1, and so on: w6 takes more than six rounds."""
+    texts = [f"w0 10.{k % 256}.2.{k // 256} on" for k in range(3000)]
+    for step in range(7):
+        words = [f"9{step}0.1.2.{k}" for k in range(256 >> step)]
+        texts += [f"w{at} {word} on" for word in words for at in (step, step + 1)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = [
+        (row.doc_id, span)
+        for row in pii.find(docs).collect()
+        for span in row.spans.split(",")
+        if span.startswith("identifier")
+    ]
+    expected = bootstrap(texts)
+    assert sorted(found) == expected
+    assert {texts[number].split()[0] for number, _ in expected} == {f"w{k}" for k in range(8)}
+
+
 # --- quality --------------------------------------------------------------------------------
 
 
@@ -333,7 +423,58 @@ def test_signature_distance():
     a = rng.integers(0, 1 << 62, 4000).astype(np.uint64)
     b = np.concatenate([a[:3700], rng.integers(0, 1 << 62, 300).astype(np.uint64)])
     x, y = (neardup.signature(np.unique(v)).view(np.uint16) for v in (a, b))
-    assert (x != y).sum() <= neardup.radius(0.85)
+    assert (x != y)[: neardup.chunks_needed(0.85) * neardup.LANES].sum() <= neardup.radius(0.85)
+
+
+def test_signatures_within_the_radius_share_a_key(spark):
+    """Random signatures at every distance up to the radius, against the distances of all pairs."""
+    rng = np.random.default_rng(1)
+    for similarity in (0.85, 0.8):
+        chunks, limit = neardup.chunks_needed(similarity), neardup.radius(similarity)
+        lanes = chunks * neardup.LANES
+        pairs = []
+        for wrong in range(limit + 3):
+            for _ in range(8):
+                x = rng.integers(0, 1 << 16, neardup.SYMBOLS).astype(np.uint16)
+                y = x.copy()
+                y[rng.permutation(lanes)[:wrong]] ^= 1
+                y[lanes:] ^= rng.integers(0, 2, neardup.SYMBOLS - lanes).astype(np.uint16)
+                pairs.append((wrong, x.view(np.int64).tolist(), y.view(np.int64).tolist()))
+        df = spark.createDataFrame(pairs, "wrong int, x array<bigint>, y array<bigint>")
+        shared = F.arrays_overlap(neardup._keys(chunks, "x"), neardup._keys(chunks, "y"))
+        apart = neardup._differing(F.col("x"), F.col("y"), chunks)
+        rows = df.select("wrong", shared.alias("shared"), apart.alias("apart")).collect()
+        assert all(row.apart == row.wrong for row in rows)
+        assert all(row.shared for row in rows if row.wrong <= limit)
+
+
+def test_tiers_are_packed_to_their_own_length():
+    """Every tier has full windows, no id is lost, and only the last sequence may be padded."""
+    rng = random.Random(3)
+    tiers = packing.Tiers(packing.tiers_of(1024, 64))
+    waiting = 0
+    for number in range(3000):
+        length = rng.randrange(1, 1024)
+        waiting += length
+        tiers.add((length, number, number, 0, length, np.arange(length)))
+    windows = [*packing.pack_tiers(tiers, 0), *packing.pack_rest(tiers)]
+    sums = [(size, sum(piece[0] for piece in window)) for size, window in windows]
+    assert sum(total for _, total in sums) == waiting
+    assert all(size == total for size, total in sums[:-1])
+    full = {size: sum(s == size for s, _ in sums) for size in tiers.sizes}
+    assert all(full[size] > 10 for size in (1024, 512, 256, 128))
+    pieces = {}
+    for _, window in windows:
+        for length, number, _, start, total, ids in window:
+            assert ids.tolist() == list(range(start, start + length))
+            pieces.setdefault((number, total), []).append((start, length))
+    assert len(pieces) == 3000
+    for (_, total), parts in pieces.items():
+        at = 0
+        for start, length in sorted(parts):
+            assert start == at
+            at += length
+        assert at == total
 
 
 def test_components_of_a_path(spark):

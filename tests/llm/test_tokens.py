@@ -33,11 +33,10 @@ def test_ids_are_the_tokenizers(tokenizer, limit):
 def test_tables_are_bounded_by_bytes():
     table = Table(4000, {"": b""})
     for number in range(300):
-        table.learn(f"unit{number}", b"\0" * 8)
-        assert table.find(["often", ""])[1] == b""
-        if number % 3 == 0:
-            table.learn("often", b"\1")
+        table.learn([f"unit{number}"], [b"\0" * 8])
+        assert table.find(["", f"unit{number}"]) == [b"", b"\0" * 8]
         assert table.size() <= 4000
-    assert table.find(["often", "unit0", "unit299"]) == [b"\1", None, b"\0" * 8]
-    table.learn("x" * 1000, b"\0" * 8)
-    assert table.find(["x" * 1000]) == [None]
+    table.learn(["kept", "x" * 1000], [b"\1", b"\0" * 8])
+    assert table.find(["kept", "x" * 1000]) == [b"\1", None]
+    table.learn([f"many{number}" for number in range(500)], [b"\0" * 8] * 500)
+    assert table.size() <= 4000 and table.find(["many1", ""]) == [None, b""]
